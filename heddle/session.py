@@ -19,6 +19,7 @@ def session(app: str = "heddle", master: str | None = None, **conf: str) -> Spar
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": os.environ.get("HEDDLE_SHUFFLE", "8"),
     }
     for k, v in {**base, **conf}.items():
