@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from . import copies, terms
+from . import copies, leaks, spans, terms, tokens
 
 
 def queries() -> dict:
-    return {"p3_found": copies.p3_found, "p3_contents": copies.p3_contents, "p4_found": terms.p4_found, "p4_terms": terms.p4_terms}
+    return {
+        "p3_found": copies.p3_found,
+        "p3_contents": copies.p3_contents,
+        "p4_found": terms.p4_found,
+        "p4_terms": terms.p4_terms,
+        "p8_ids": tokens.p8_ids,
+        "p9_found": leaks.p9_found,
+        "p10_found": spans.p10_found,
+        "p10_share": spans.p10_share,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return copies.SQL | terms.SQL
+    return copies.SQL | terms.SQL | leaks.SQL
