@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import copies, leaks, spans, terms, tokens
+from . import copies, garbled, leaks, names, spans, terms, tokens
 
 
 def queries() -> dict:
     return {
+        "p1_found": garbled.p1_found,
+        "p1_restored": garbled.p1_restored,
+        "p2_found": names.p2_found,
+        "p2_entities": names.supplier_entities,
         "p3_found": copies.p3_found,
         "p3_contents": copies.p3_contents,
         "p4_found": terms.p4_found,
