@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import copies, garbled, language, leaks, names, spans, terms, tokens
+from . import copies, garbled, language, leaks, listings, names, spans, terms, tokens
 
 
 def queries() -> dict:
@@ -15,6 +15,8 @@ def queries() -> dict:
         "p3_contents": copies.p3_contents,
         "p4_found": terms.p4_found,
         "p4_terms": terms.p4_terms,
+        "p6_found": listings.p6_found,
+        "p6_products": listings.listing_products,
         "p7_found": language.p7_found,
         "p7_labels": language.p7_labels,
         "p8_ids": tokens.p8_ids,
