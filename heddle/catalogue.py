@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import catalogue_consolidate as consolidate
 from .operators import references
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": references.p5_found, "p5_report": references.p5_report}
+    return {"p5_found": references.p5_found, "p5_report": references.p5_report, **consolidate.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**references.SQL}
+    return {**references.SQL, **consolidate.SQL}
