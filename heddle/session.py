@@ -47,3 +47,8 @@ def cut(df: DataFrame) -> DataFrame:
             shared = tempfile.mkdtemp(prefix="heddle-checkpoint-")
         sc.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
+
+
+def parts(spark: SparkSession) -> int:
+    """Number of shuffle partitions, for a repartition before Python: one by number isn't coalesced by size, which says nothing of its cost."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
