@@ -18,12 +18,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
 from ..operators.skew import attach_by_key
-from ..session import cut, table
+from ..session import cut, parts, table
 
 # Legal forms and marks of sole traders, folded and without dots.
 LEGAL = {
@@ -119,7 +120,7 @@ def _read(given: dict[str, list[str]]):
         if len(t) < 5:
             return []
         if t not in near:
-            near[t] = sorted({g for k, v in given.items() if len(k) >= 5 and edits(t, k) == 1 for g in v})
+            near[t] = sorted({g for k, v in given.items() if len(k) >= 5 and abs(len(k) - len(t)) <= 1 and edits(t, k) == 1 for g in v})
         return near[t]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,11 +135,12 @@ def _read(given: dict[str, list[str]]):
                 legal_all = sorted({SAME_LEGAL.get(x, x) for r in read for x in r[1]})
                 kind, first, initial, rest = "c", [], "", content
                 long = [t for t in content if len(t) > 1]
-                named = [t for t in long if names_of(t)]
-                if len(long) == 2 and len(named) >= 1 and not set(legal_all) - SOLE:
+                sole = not set(legal_all) - SOLE
+                named = [t for t in long if names_of(t)] if sole and len(long) == 2 else []
+                if named:
                     g = named[0] if len(named) == 1 or named[0] in given else named[1]
                     kind, first, rest = "p", names_of(g), [t for t in long if t is not g] or [g]
-                elif len(long) == 1 and len(content) >= 2 and not set(legal_all) - SOLE:
+                elif len(long) == 1 and len(content) >= 2 and sole:
                     kind, initial, rest = "p", next(t for t in content if len(t) == 1), long
                 out.append((row, kind, rest, first, initial, " ".join(x for x in legal_all if x not in SOLE), number if isinstance(number, str) and number.strip() else None))
             yield pd.DataFrame(out, columns=["supplier_row", "kind", "tokens", "given", "initial", "legal", "identifier"])
@@ -152,10 +154,9 @@ def deletions(c: str) -> F.Column:
     return F.array_distinct(F.concat(F.array(w), F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))))
 
 
-def _attach(pdf: pd.DataFrame) -> pd.DataFrame:
+def _attach(own: list[dict], guests: list[dict]) -> Iterator[tuple[int, int, float, bool]]:
     """Within one leading name: the forms of the name itself, and visitors whose name may be a typing error of it."""
-    own = pdf[~pdf.visitor].sort_values(["n", "form_id"], ascending=[False, True]).to_dict("records")
-    out: list[tuple[int, int, float, bool]] = []
+    own = sorted(own, key=lambda f: (-f["n"], f["form_id"]))
     canon: list[dict] = []
 
     def likelihood(f: dict, c: dict) -> float:
@@ -177,25 +178,43 @@ def _attach(pdf: pd.DataFrame) -> pd.DataFrame:
         if not scored:
             return None, 0.0
         top, total = scored[0][0], sum(s[0] for s in scored)
-        sure = top / total > 0.5 or not whole
-        return (canon[scored[0][2]], top) if sure else (None, 0.0)
+        return (canon[scored[0][2]], top) if top / total > 0.5 or not whole else (None, 0.0)
 
-    vague = lambda f: (f["kind"] == "c" and not f["trade"]) or (f["kind"] == "p" and not len(f["given"]))
+    vague = lambda f: (f["kind"] == "c" and not f["trade"]) or (f["kind"] == "p" and not f["given"])
     for f in [x for x in own if not vague(x)] + [x for x in own if vague(x)]:
         c, _ = best(f, vague(f))
         if c is None:
             canon.append({**f, "w": float(f["n"])})
-            out.append((f["form_id"], f["form_id"], 1.0, False))
+            yield f["form_id"], f["form_id"], 1.0, False
         else:
             c["w"] += f["n"]
-            if f["kind"] == "p" and len(f["given"]):
+            if f["kind"] == "p" and f["given"]:
                 c["given"] = sorted(set(c["given"]) & set(f["given"])) or c["given"]
-            out.append((f["form_id"], c["form_id"], 1.0, False))
-    for f in pdf[pdf.visitor].to_dict("records"):
+            yield f["form_id"], c["form_id"], 1.0, False
+    for f in guests:
         c, score = best(f, True)
         if c is not None and not (vague(f) and len(canon) > 1):
-            out.append((f["form_id"], c["form_id"], score * TYPO, True))
-    return pd.DataFrame(out, columns=["form_id", "to_id", "score", "visitor"])
+            yield f["form_id"], c["form_id"], score * TYPO, True
+
+
+def _attach_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups of rows sorted by (kind, host); only the distinct forms of one leading name are held at a time."""
+    key, own, guests, out = None, [], [], []
+
+    def emit(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) if rows else [(), (), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.bool_())], ["form_id", "to_id", "score", "visitor"])
+
+    for b in batches:
+        for f in b.to_pylist():
+            if (f["kind"], f["host"]) != key:
+                out += _attach(own, guests)
+                key, own, guests = (f["kind"], f["host"]), [], []
+            (guests if f["visitor"] else own).append(f)
+        if len(out) > 10_000:
+            yield emit(out)
+            out = []
+    yield emit(out + list(_attach(own, guests)))
 
 
 def entities(suppliers: DataFrame, given_names: DataFrame) -> DataFrame:
@@ -254,7 +273,8 @@ def entities(suppliers: DataFrame, given_names: DataFrame) -> DataFrame:
     slim = forms.select("form_id", "n", *form_cols)
     members = slim.withColumn("host", F.col("stem")).withColumn("visitor", F.lit(False))
     guests = slim.join(visits, ["kind", "stem"]).withColumn("visitor", F.lit(True)).where(_one_error("stem", "host"))
-    linked = cut(members.unionByName(guests).groupBy("kind", "host").applyInPandas(_attach, "form_id bigint, to_id bigint, score double, visitor boolean"))
+    hosted = members.unionByName(guests).repartition(parts(suppliers.sparkSession), "kind", "host").sortWithinPartitions("kind", "host")
+    linked = cut(hosted.mapInArrow(_attach_all, "form_id bigint, to_id bigint, score double, visitor boolean"))
     chosen = linked.where("visitor").groupBy("form_id").agg(F.max_by("to_id", F.struct("score", -F.col("to_id"))).alias("to_id"))
     edges = linked.where("NOT visitor").select("form_id", "to_id").unionByName(chosen)
 
