@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import catalogue_consolidate as consolidate
+from . import catalogue_widen as widen
 from .operators import references
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": references.p5_found, "p5_report": references.p5_report, **consolidate.QUERIES}
+    return {"p5_found": references.p5_found, "p5_report": references.p5_report, **consolidate.QUERIES, **widen.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**references.SQL, **consolidate.SQL}
+    return {**references.SQL, **consolidate.SQL, **widen.SQL}

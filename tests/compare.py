@@ -32,7 +32,7 @@ def canon(df: pd.DataFrame) -> tuple[list[str], int, str]:
             v = v.tolist()
         if isinstance(v, (list, tuple)):
             return "[" + ",".join(map(text, v)) + "]"
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return "∅"
         if isinstance(v, (bool, np.bool_)):
             return str(bool(v))
