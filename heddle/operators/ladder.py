@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .skew import attach_by_key
 
 
@@ -37,7 +38,8 @@ def climb(left: DataFrame, row_id: str, rungs: list[tuple[str, Column, Column |
             ]
         )
     )
-    tries = left.select(row_id, F.inline(steps))
+    # Read three times, and its keys are long expressions that would else be repeated in every filter.
+    tries = cut(left.select(row_id, F.inline(steps)))
     found = attach_by_key(tries, blocks.select("rung_kind", "key", "line"), ["rung_kind", "key", "line"], [row_id, "prio"])
     best = found.groupBy(row_id).agg(F.min(F.struct("prio", "strategy", "rung_kind", "key", "line")).alias("b")).select(row_id, "b.strategy", "b.rung_kind", "b.key", "b.line")
     block = attach_by_key(best, blocks, ["rung_kind", "key", "line"], [row_id])

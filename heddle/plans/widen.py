@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.ladder import climb, fold
+from ..session import cut
 
 # The invoice columns carried over, in order.
 INVOICE_FIELDS = ["invoice_key", "invoice_id", "row_number", "xml_file_name", "article_id", "article_name", "free_text", "quantity_charged", "quantity_delivered", "unit_price_excl_vat", "unit_price_net", "row_total_excl_vat", "row_total_incl_vat", "vat_amount", "vat_rate"]
@@ -30,6 +31,7 @@ def transaction_keys(tx: DataFrame, row_id: str) -> DataFrame:
     fields = {"_a": "invoice_number", "_b": "document_number", "_c": "documentidentifier", "_d": "invoicelink", "_e": "document_line_number"}
     n = tx.select(row_id, *[T.normalise_text(c).alias(k) for k, c in fields.items()])
     unless = lambda c: F.when(T.blank_of(F.col(c)), "").otherwise(T.compact_of(F.col(c)))
+    n = cut(n)
     n = n.select(row_id, unless("_a").alias("_inv"), unless("_b").alias("_doc"), T.document_of(F.col("_c")).alias("_c"), T.document_of(F.col("_d")).alias("_d"), T.line_of(F.col("_e")).alias("_line"))
     return n.select(row_id, "_inv", "_doc", F.when(F.col("_c") != "", F.col("_c")).otherwise(F.col("_d")).alias("_did"), "_line")
 
@@ -57,7 +59,7 @@ def _blocks(index: DataFrame) -> DataFrame:
 
 def widen_invoices(tx: DataFrame, invoices: DataFrame, row_id: str, order: str) -> DataFrame:
     """The transactions with level, strategy, count, the unanimous invoice fields and the document's figures (prefix ``inv_``)."""
-    index = invoice_index(invoices, order)
+    index = cut(invoice_index(invoices, order))  # read five times below
     keys = transaction_keys(tx, row_id)
     names = [("invoice-number", "_inv"), ("document-number", "_doc"), ("document-id", "_did")]
     rungs = [(f"{n} + line", F.col(k), F.col("_line")) for n, k in names] + [(n, F.col(k), None) for n, k in names]
