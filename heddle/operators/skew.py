@@ -29,9 +29,9 @@ def attach_by_key(rows: DataFrame, facts: DataFrame, keys: Sequence[str], spread
 
 
 def min_by_key(rows: DataFrame, keys: Sequence[str], value: str, out: str, spread_on: Sequence[str], fan: int = FAN) -> DataFrame:
-    """Attach to each row the least ``value`` of its key and the number of rows, in two steps for hot keys."""
+    """Attach to each row the least ``value`` of its key, in two steps for hot keys."""
     slotted = rows.withColumn("_slot", salt(*spread_on, fan=fan))
-    part = slotted.groupBy(*keys, "_slot").agg(F.min(value).alias("_m"), F.count(F.lit(1)).alias("_c"))
-    whole = part.groupBy(*keys).agg(F.min("_m").alias(out), F.sum("_c").alias("_n"), F.collect_set("_slot").alias("_slots"))
-    copies = whole.select(*keys, out, "_n", F.explode("_slots").alias("_slot"))
+    part = slotted.groupBy(*keys, "_slot").agg(F.min(value).alias("_m"))
+    whole = part.groupBy(*keys).agg(F.min("_m").alias(out), F.collect_set("_slot").alias("_slots"))
+    copies = whole.select(*keys, out, F.explode("_slots").alias("_slot"))
     return slotted.join(copies, [*keys, "_slot"]).drop("_slot")
