@@ -34,21 +34,20 @@ def canonical_parts(c: Column) -> Column:
 
 
 def copies(rows: DataFrame) -> DataFrame:
-    """(table_name, record_id, text) to (table_name, record_id, keep_id, n): each record with the first of its content.
+    """(table_name, record_id, text) to (table_name, record_id, keep_id): each record with the first of its content.
 
-    ``n`` is the number of records of that content in its table. Texts that are null or without
-    letters and digits are left out. Records with one key count once each; extra columns are dropped.
+    Texts that are null or without letters and digits are left out. Records with one key count
+    once each; extra columns are dropped. Beyond the first grouping a text travels as its digest.
     """
     rows = rows.where(F.col("text").isNotNull() & F.col("text").rlike(r"[\p{L}\p{N}]")).select("table_name", "record_id", "text")
-    known = min_by_key(rows, ["table_name", "text"], "record_id", "value_id", ["record_id"])
-    values = rows.groupBy("table_name", "text").agg(F.min("record_id").alias("value_id"), F.count(F.lit(1)).alias("c"))
-    parts = values.select("table_name", "value_id", "c", F.posexplode(canonical_parts(F.col("text"))).alias("no", "part")).withColumn("at", F.struct("value_id", "no"))
-    coded = min_by_key(parts, ["table_name", "part"], "at", "part_id", ["value_id"])
-    tuples = coded.groupBy("table_name", "value_id", "c").agg(F.sort_array(F.collect_list("part_id")).alias("parts"))
-    slots = tuples.withColumn("_slot", F.pmod(F.xxhash64("value_id"), F.lit(24)).cast("int"))
-    whole = slots.groupBy("table_name", "parts", "_slot").agg(F.min("value_id").alias("m"), F.sum("c").alias("c")).groupBy("table_name", "parts").agg(F.min("m").alias("keep_id"), F.sum("c").alias("n"), F.collect_set("_slot").alias("s"))
-    classes = slots.select("table_name", "value_id", "parts", "_slot").join(whole.select("table_name", "parts", "keep_id", "n", F.explode("s").alias("_slot")), ["table_name", "parts", "_slot"]).select("table_name", "value_id", "keep_id", "n")
-    return attach_by_key(known.select("table_name", "record_id", "value_id"), classes, ["table_name", "value_id"], ["record_id"]).select("table_name", "record_id", "keep_id", "n")
+    digest = F.unhex(F.md5("text")).alias("digest")
+    values = rows.groupBy("table_name", "text").agg(F.min("record_id").alias("value_id"))
+    parts = values.select("table_name", "value_id", F.posexplode(canonical_parts(F.col("text"))).alias("no", "part"))
+    coded = min_by_key(parts.withColumn("at", F.struct("value_id", "no")), ["table_name", "part"], "at", "part_id", ["value_id"])
+    tuples = coded.groupBy("table_name", "value_id").agg(F.sort_array(F.collect_list("part_id")).alias("parts")).withColumn("parts", F.unhex(F.md5(F.to_json("parts"))))
+    classes = min_by_key(tuples, ["table_name", "parts"], "value_id", "keep_id", ["value_id"]).select("table_name", "value_id", "keep_id")
+    known = values.select("table_name", "value_id", digest).join(classes, ["table_name", "value_id"]).select("table_name", "digest", "keep_id")
+    return attach_by_key(rows.select("table_name", "record_id", digest), known, ["table_name", "digest"], ["record_id"]).select("table_name", "record_id", "keep_id")
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +62,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each content once per table with the number of its records."""
-    return copies(sources(spark, sf_dir)).where(F.col("record_id") == F.col("keep_id")).select("table_name", "keep_id", F.col("n").alias("records")).distinct()
+    return copies(sources(spark, sf_dir)).groupBy("table_name", "keep_id").agg(F.count(F.lit(1)).alias("records"))
 
 
 _CTE = r"""
