@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import catalogue_analytics as analytics
 from . import catalogue_consolidate as consolidate
 from . import catalogue_text as text
 from . import catalogue_widen as widen
@@ -13,8 +14,8 @@ from .operators import references
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": references.p5_found, "p5_report": references.p5_report, **consolidate.QUERIES, **widen.QUERIES, **text.QUERIES}
+    return {"p5_found": references.p5_found, "p5_report": references.p5_report, **consolidate.QUERIES, **widen.QUERIES, **text.QUERIES, **analytics.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**references.SQL, **consolidate.SQL, **widen.SQL, **text.SQL}
+    return {**references.SQL, **consolidate.SQL, **widen.SQL, **text.SQL, **analytics.SQL}

@@ -11,10 +11,10 @@ from .skew import salt
 
 def _star(pairs: DataFrame) -> DataFrame:
     """Each (u, v) with the least of u and all its neighbours, in two steps for hot nodes."""
-    slotted = pairs.withColumn("_slot", salt("u", "v"))
-    part = slotted.groupBy("u", "_slot").agg(F.min("v").alias("m"))
-    least = part.groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"), F.collect_set("_slot").alias("_slots"))
-    return slotted.join(least.select("u", "m", F.explode("_slots").alias("_slot")), ["u", "_slot"]).select("u", "v", "m")
+    slotted = pairs.withColumn("__h_slot", salt("u", "v"))
+    part = slotted.groupBy("u", "__h_slot").agg(F.min("v").alias("m"))
+    least = part.groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"), F.collect_set("__h_slot").alias("__h_slots"))
+    return slotted.join(least.select("u", "m", F.explode("__h_slots").alias("__h_slot")), ["u", "__h_slot"]).select("u", "v", "m")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 30) -> DataFrame:

@@ -34,18 +34,18 @@ def orphans(children: DataFrame, parents: DataFrame, fan: int = FAN) -> DataFram
     of a parent as missing. Repeated children stay; extra child columns are kept.
     """
     names = [c for c in children.columns]
-    kids = children.where(F.col("key").isNotNull()).withColumn("_slot", salt(*[F.col(f"`{c}`") for c in names], fan=fan))
-    tagged = parents.where(F.col("key").isNotNull()).select("parent_table", "key", F.lit(None).cast("int").alias("_slot"), F.col("at").alias("_parent_at"), F.lit(None).cast("timestamp").alias("_child_at")).unionByName(
-        kids.select("parent_table", "key", "_slot", F.lit(None).cast("timestamp").alias("_parent_at"), F.coalesce("at", F.lit("0001-01-01").cast("timestamp")).alias("_child_at"))
+    kids = children.where(F.col("key").isNotNull()).withColumn("__h_slot", salt(*[F.col(f"`{c}`") for c in names], fan=fan))
+    tagged = parents.where(F.col("key").isNotNull()).select("parent_table", "key", F.lit(None).cast("int").alias("__h_slot"), F.col("at").alias("__h_parent_at"), F.lit(None).cast("timestamp").alias("__h_child_at")).unionByName(
+        kids.select("parent_table", "key", "__h_slot", F.lit(None).cast("timestamp").alias("__h_parent_at"), F.coalesce("at", F.lit("0001-01-01").cast("timestamp")).alias("__h_child_at"))
     )
     groups = (
         tagged.groupBy("parent_table", "key")
-        .agg(F.min("_parent_at").alias("_have"), F.min("_child_at").alias("_first"), F.collect_set("_slot").alias("_slots"))
-        .where(F.col("_first").isNotNull() & (F.col("_have").isNull() | (F.col("_have") > F.col("_first"))))
-        .select("parent_table", "key", "_have", F.explode("_slots").alias("_slot"))
+        .agg(F.min("__h_parent_at").alias("__h_have"), F.min("__h_child_at").alias("__h_first"), F.collect_set("__h_slot").alias("__h_slots"))
+        .where(F.col("__h_first").isNotNull() & (F.col("__h_have").isNull() | (F.col("__h_have") > F.col("__h_first"))))
+        .select("parent_table", "key", "__h_have", F.explode("__h_slots").alias("__h_slot"))
     )
-    late = F.col("_have").isNull() | F.col("at").isNull() | (F.col("_have") > F.col("at"))
-    return kids.join(groups, ["parent_table", "key", "_slot"]).where(late).select(*names)
+    late = F.col("__h_have").isNull() | F.col("at").isNull() | (F.col("__h_have") > F.col("at"))
+    return kids.join(groups, ["parent_table", "key", "__h_slot"]).where(late).select(*names)
 
 
 def invoice_references(spark: SparkSession, sf_dir: str) -> DataFrame:

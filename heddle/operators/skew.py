@@ -22,16 +22,16 @@ def attach_by_key(rows: DataFrame, facts: DataFrame, keys: Sequence[str], spread
     pre-aggregated distinct of (key, slot): a rare key is copied once, a hot one ``fan`` times.
     Keys that are null match nothing.
     """
-    slotted = rows.withColumn("_slot", salt(*spread_on, fan=fan))
-    slots = slotted.select(*keys, "_slot").distinct()
+    slotted = rows.withColumn("__h_slot", salt(*spread_on, fan=fan))
+    slots = slotted.select(*keys, "__h_slot").distinct()
     copies = facts.join(slots, list(keys))
-    return slotted.join(copies, [*keys, "_slot"], how).drop("_slot")
+    return slotted.join(copies, [*keys, "__h_slot"], how).drop("__h_slot")
 
 
 def min_by_key(rows: DataFrame, keys: Sequence[str], value: str, out: str, spread_on: Sequence[str], fan: int = FAN) -> DataFrame:
     """Attach to each row the least ``value`` of its key, in two steps for hot keys."""
-    slotted = rows.withColumn("_slot", salt(*spread_on, fan=fan))
-    part = slotted.groupBy(*keys, "_slot").agg(F.min(value).alias("_m"))
-    whole = part.groupBy(*keys).agg(F.min("_m").alias(out), F.collect_set("_slot").alias("_slots"))
-    copies = whole.select(*keys, out, F.explode("_slots").alias("_slot"))
-    return slotted.join(copies, [*keys, "_slot"]).drop("_slot")
+    slotted = rows.withColumn("__h_slot", salt(*spread_on, fan=fan))
+    part = slotted.groupBy(*keys, "__h_slot").agg(F.min(value).alias("__h_m"))
+    whole = part.groupBy(*keys).agg(F.min("__h_m").alias(out), F.collect_set("__h_slot").alias("__h_slots"))
+    copies = whole.select(*keys, out, F.explode("__h_slots").alias("__h_slot"))
+    return slotted.join(copies, [*keys, "__h_slot"]).drop("__h_slot")
