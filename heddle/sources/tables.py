@@ -17,7 +17,7 @@ from .xlsx import ExcelSource
 SNIFF = 256 * 1024
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252", "cp1250", "latin-1")
 SUFFIXES = {".csv", ".tsv", ".txt", ".xlsx", ".xlsm"}
-#: Java's names; cp1250 needs spark.sql.legacy.javaCharsets.
+#: Java's names; the Windows pages need spark.sql.legacy.javaCharsets.
 JAVA = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252", "cp1250": "windows-1250", "latin-1": "ISO-8859-1"}
 
 # Header spellings of the logical fields, compared by header key.
@@ -78,7 +78,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         head = f.read(SNIFF)
     enc = detect_encoding(head)
     sep = detect_delimiter(head.decode(enc, "replace")[:16_384])
-    if enc == "cp1250":
+    if enc in ("cp1252", "cp1250"):
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     df = spark.read.csv(path, header=True, sep=sep, encoding=JAVA[enc], inferSchema=False, multiLine=True, quote='"', escape='"', mode="PERMISSIVE")
     df = df.toDF(*[c.lstrip("﻿").strip() or f"column_{i + 1}" for i, c in enumerate(df.columns)])
