@@ -44,18 +44,17 @@ def read_wrongly(raw: bytes, encoding: str) -> str:
     return "".join(out)
 
 
-def sequences() -> dict[str, str]:
-    """Garbled sequence to the character it stands for, for all encodings, read wrongly once or twice."""
+def sequences() -> dict[str, dict[str, str]]:
+    """Garbled sequence to what it stands for under each encoding, read wrongly once or twice."""
     targets = dict.fromkeys([*LETTERS, *SIGNS, *map(chr, [*range(0xA0, 0x180)])])
-    found: dict[str, str] = {}
+    found: dict[str, dict[str, str]] = {}
     for enc in READ_AS:
         for c in targets:
             once = read_wrongly(c.encode("utf-8"), enc)
-            if len(once) > 1:
-                found.setdefault(once, c)
-            twice = read_wrongly(once.encode("utf-8"), enc)
-            found.setdefault(twice, c)
-    return {k: v for k, v in found.items() if len(k) > 1 and any(ord(x) > 127 for x in k)}
+            for seq, way in ((once, enc), (read_wrongly(once.encode("utf-8"), enc), enc + " twice")):
+                if len(seq) > 1 and any(ord(x) > 127 for x in seq):
+                    found.setdefault(seq, {}).setdefault(way, c)
+    return found
 
 
 @lru_cache(1)
@@ -72,7 +71,7 @@ def _automaton():
 @lru_cache(1)
 def _single() -> list[dict[str, str]]:
     """For each pair of one-byte encodings: wrong character to right letter or sign."""
-    maps = []
+    maps: list[dict[str, str]] = []
     for w, r in ONE_BYTE:
         m = {}
         for c in LETTERS + "°²½±µØ–":
@@ -88,7 +87,7 @@ def _single() -> list[dict[str, str]]:
 
 @lru_cache(1)
 def _suspects() -> re.Pattern:
-    return re.compile("[" + re.escape("".join(sorted({g for m in _single() for g in m}))) + "]")
+    return re.compile("[" + re.escape("".join(sorted({g for m in _single() for g in m} - set(LETTERS)))) + "]")
 
 
 def _sure(text: str, i: int) -> bool:
@@ -134,9 +133,15 @@ def mend(text: str) -> tuple[bool, str, list[tuple[str, str]]]:
         spans.append((start, end + 1, v, weak))
     if all(w for *_, w in spans):
         spans = []
+    # One sequence can stand for two characters under two encodings; the encoding that explains most of the text decides.
+    ways: dict[str, int] = {}
+    for _, _, v, _ in spans:
+        for way in v:
+            ways[way] = ways.get(way, 0) + 1
+    way = max(ways, key=ways.get) if ways else ""
     out, at = [], 0
     for s, e, v, _ in spans:
-        out += [text[at:s], v]
+        out += [text[at:s], v.get(way) or next(iter(v.values()))]
         at = e
     now = "".join([*out, text[at:]])
     damaged = bool(spans) or "�" in now
