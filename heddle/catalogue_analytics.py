@@ -14,7 +14,7 @@ from .operators.graph import components
 from .plans import enrich as E
 from .plans import group as G
 from .plans import match as M
-from .session import table
+from .session import cut, table
 from .streaming import events as ev
 from .vocabulary import default
 
@@ -197,7 +197,7 @@ SQL["entry_reduce"] = f"WITH {_ENTRIES} SELECT * FROM e"
 
 
 def _groups(s, d):
-    c = G.clusters(_entries(s, d).withColumn("spend", F.col("spend").cast("double")))
+    c = cut(G.clusters(_entries(s, d).withColumn("spend", F.col("spend").cast("double"))))  # read three times below
     lab = G.consensus_label(c, ["bucket", "cluster"], "text", "row_count")
     g = c.join(lab, ["bucket", "cluster"], "left").join(G.cohesion(c), ["bucket", "cluster"])
     weak = T.lookup_key("label").isin(default().generic)

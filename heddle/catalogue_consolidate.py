@@ -40,7 +40,7 @@ def scope_guard(s, d):
 
 
 def portfolio_overlap(s, d):
-    r = C.reach(_p(s, d))
+    r = C.reach_both_ways(_p(s, d))
     return r.select(*C.KEY, "partner", F.round("coverage", 6).alias("coverage"), F.round("addressable_spend", 2).alias("addressable_spend"), "exact_items", "partner_lines")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import table
+from ..session import cut, table
 
 LEVELS = ["category_l1", "category_l2", "category_l3", "category_l4", "business_area", "division"]
 # Thresholds of the analysis.
@@ -75,6 +75,7 @@ def matchable(p: DataFrame) -> DataFrame:
 
 def reach(p: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """How far each partner reaches into each supplier's portfolio: best score per item, summed; edges add similar items."""
+    p = cut(p)
     m = matchable(p)
     left = m.select(*KEY, "item", "weight", "spend")
     right = m.select(*SCOPE, F.col("supplier").alias("partner"), "item", F.col("lines").alias("p_lines"))
@@ -103,6 +104,29 @@ def _summed(best: DataFrame, *more: Column) -> DataFrame:
     )
 
 
+def reach_both_ways(p: DataFrame) -> DataFrame:
+    """reach over equal items with its reverse, from one join of each unordered pair: half the rows, and no second join for the reverse.
+
+    Weights and spend are summed as whole ten-thousandths, which is exact and stays in registers.
+    """
+    p = cut(p)  # read five times below
+    m = matchable(p).select(*SCOPE, "supplier", "item", (F.col("weight") * 10_000).cast("bigint").alias("w"), F.coalesce((F.col("spend") * 10_000).cast("bigint"), F.lit(0)).alias("s"), F.col("lines").alias("n"))
+    other = m.select(*SCOPE, "item", *[F.col(c).alias(f"{c}2") for c in ("supplier", "w", "s", "n")])
+    both = m.join(other, [*SCOPE, "item"]).where("supplier < supplier2").groupBy(*SCOPE, "supplier", "supplier2").agg(*[F.sum(c).alias(c) for c in ("w", "s", "n", "w2", "s2", "n2")], F.count(F.lit(1)).alias("items"))
+    t = totals(p)
+    far = t.select(*SCOPE, *[F.col(c).alias(f"{c}2") for c in ("supplier", "total_weight", "total_spend", "total_lines", "named_weight")])
+    x = both.join(t, KEY).join(far, [*SCOPE, "supplier2"])
+    cover = lambda w, tw: F.when(F.col(tw) > 0, (F.col(w) / 10_000) / F.col(tw).cast("double")).otherwise(0.0)
+    x = x.withColumn("c", cover("w", "total_weight")).withColumn("c2", cover("w2", "total_weight2"))
+    one = lambda a, b: F.struct(
+        F.col(f"supplier{a}").alias("supplier"), F.col(f"supplier{b}").alias("partner"), (F.col(f"w{a}") / 10_000).alias("matched_weight"), (F.col(f"s{a}") / 10_000).alias("addressable_spend"), F.col("items").alias("exact_items"), F.col(f"n{b}").alias("partner_lines"),
+        *[F.col(f"{c}{a}").alias(c) for c in ("total_weight", "total_spend", "total_lines", "named_weight")], F.col(f"c{a}").alias("coverage"),
+        F.when(F.col(f"c{b}") >= RETAIN, F.col(f"c{b}")).otherwise(0.0).alias("reverse_coverage"), F.when(F.col(f"c{b}") >= RETAIN, F.col(f"s{b}") / 10_000).otherwise(0.0).alias("partner_spend"),
+    )
+    way = lambda a, b: F.when(F.col(f"c{a}") >= RETAIN, one(a, b))
+    return x.select(*SCOPE, F.inline(F.array_compact(F.array(way("", "2"), way("2", "")))))
+
+
 def sufficiency(lines: Column) -> Column:
     return F.least(F.lit(1.0), F.log1p(F.greatest(lines, F.lit(0)).cast("double")) / F.log1p(F.lit(float(SATURATION))))
 
@@ -113,9 +137,12 @@ def band(coverage: Column) -> Column:
 
 def overlaps(p: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """Reach with its reverse, confidence and bands, at the report floor and the retained partners of each supplier."""
-    r = reach(p, edges)
-    back = r.select(*SCOPE, F.col("supplier").alias("partner"), F.col("partner").alias("supplier"), F.col("coverage").alias("reverse_coverage"), F.col("addressable_spend").alias("partner_spend"))
-    o = r.where(F.col("coverage") >= REPORT).join(back, [*KEY, "partner"], "left").fillna(0.0, ["reverse_coverage", "partner_spend"])
+    if edges is None:
+        o = reach_both_ways(p).where(F.col("coverage") >= REPORT).withColumn("exact_weight", F.col("matched_weight")).withColumn("similar_items", F.lit(0).cast("bigint"))
+    else:
+        r = reach(p, edges)
+        back = r.select(*SCOPE, F.col("supplier").alias("partner"), F.col("partner").alias("supplier"), F.col("coverage").alias("reverse_coverage"), F.col("addressable_spend").alias("partner_spend"))
+        o = r.where(F.col("coverage") >= REPORT).join(back, [*KEY, "partner"], "left").fillna(0.0, ["reverse_coverage", "partner_spend"])
     w = Window.partitionBy(*KEY).orderBy(F.desc("coverage"), F.desc("partner_lines"), F.desc("addressable_spend"), "partner")
     o = o.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= RETAINED)
     named = F.col("named_weight").cast("double") / F.col("total_weight").cast("double")
