@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import catalogue_analytics as analytics
 from . import catalogue_consolidate as consolidate
+from . import catalogue_more_sql as more
 from . import catalogue_text as text
 from . import catalogue_widen as widen
 from .operators import references
@@ -18,4 +19,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**references.SQL, **consolidate.SQL, **widen.SQL, **text.SQL, **analytics.SQL}
+    return {**references.SQL, **consolidate.SQL, **widen.SQL, **text.SQL, **analytics.SQL, **more.SQL}
