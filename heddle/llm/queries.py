@@ -27,4 +27,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return copies.SQL | terms.SQL | leaks.SQL
+    return copies.SQL | terms.SQL | leaks.SQL | spans.SQL

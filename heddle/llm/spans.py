@@ -179,3 +179,13 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     s = shared_spans(docs).groupBy("doc_id").agg(F.count(F.lit(1)).alias("spans"), F.sum(F.col("span_end") - F.col("span_start") + 1).alias("shared_chars"))
     return s.join(docs.select("doc_id", F.length("text").cast("bigint").alias("chars")), "doc_id").withColumn("share", F.round(F.col("shared_chars") / F.col("chars"), 6))
+
+
+SQL = {
+    "p10_found": """
+WITH w AS (SELECT doc_id, k, substr(text, k, 200) AS s FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS k FROM documents WHERE length(text) >= 200)),
+d AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) <> max(doc_id)), h AS (SELECT doc_id, k AS a, k + 199 AS b FROM w WHERE s IN (SELECT s FROM d)),
+r AS (SELECT *, CASE WHEN max(b) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= a - 1 THEN 0 ELSE 1 END AS fresh FROM h),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY a) AS n FROM r)
+SELECT doc_id, min(a)::BIGINT AS span_start, max(b)::BIGINT AS span_end FROM g GROUP BY doc_id, n"""
+}
