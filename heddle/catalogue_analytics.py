@@ -136,12 +136,6 @@ def purchase_intent(s, d):
     return table(s, d, "translation_results").select("result_id", X.intent(F.concat_ws(" ", "source_text", "english_text")).alias("value"))
 
 
-def _intent_sql(x):
-    k = Q.lookup(x)
-    whens = " ".join("WHEN " + " OR ".join([f"len(list_intersect(w, [{', '.join(repr(m) for m in ms if ' ' not in m)}])) > 0", *[f"contains(k, '{m}')" for m in ms if " " in m]]) + f" THEN '{lab}'" for lab, ms in X.INTENTS)
-    return f"(SELECT CASE {whens} ELSE '' END FROM (SELECT {k} AS k, {Q.tokens(k)} AS w))"
-
-
 SQL["purchase_intent"] = f"SELECT result_id, CASE {' '.join('WHEN ' + ' OR '.join([f'''len(list_intersect(w, [{', '.join(repr(m) for m in ms if ' ' not in m)}])) > 0''', *[f'''contains(k, '{m}')''' for m in ms if ' ' in m]]) + f''' THEN '{lab}' ''' for lab, ms in X.INTENTS)} ELSE '' END AS value FROM (SELECT result_id, k, {Q.tokens('k')} AS w FROM (SELECT result_id, {Q.lookup(chr(99) + 'oncat_ws(' + repr(' ') + ', source_text, english_text)')} AS k FROM translation_results))"
 
 

@@ -42,7 +42,6 @@ _fmt = f"(CASE WHEN {_amt} IS NULL THEN '' WHEN abs({_amt} - round({_amt})) < 1e
 _measured = f"regexp_replace(regexp_replace(regexp_replace({_desc}, '{X.MEASURE}', ' ', 'g'), '{X.DIMENSION}', ' ', 'g'), '(?i)\\b(?:dn|pn|iso|din|en|sfs)\\s?\\d+\\b', ' ', 'g')"
 _ordinal = "(?i)^\\d{1,2}(?:st|nd|rd|th)(?:-\\d{1,2}(?:st|nd|rd|th))+$"
 
-_plain = Q.collapse(f"regexp_replace({Q.lookup('n')}, '[^\\p{{L}}\\p{{N}} ]', ' ', 'g')")
 
 
 def _supplier_key(n: str) -> str:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import sql as Q
-from .functions import text as T
 from .plans import widen as W
 from .session import table
 

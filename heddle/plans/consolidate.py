@@ -104,26 +104,30 @@ def _summed(best: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def reach_both_ways(p: DataFrame) -> DataFrame:
+def reach_both_ways(p: DataFrame, floor: float = RETAIN) -> DataFrame:
     """reach over equal items with its reverse, from one join of each unordered pair: half the rows, and no second join for the reverse.
 
     Weights and spend are summed as whole ten-thousandths, which is exact and stays in registers.
     """
     p = cut(p)  # read five times below
-    m = matchable(p).select(*SCOPE, "supplier", "item", (F.col("weight") * 10_000).cast("bigint").alias("w"), F.coalesce((F.col("spend") * 10_000).cast("bigint"), F.lit(0)).alias("s"), F.col("lines").alias("n"))
-    other = m.select(*SCOPE, "item", *[F.col(c).alias(f"{c}2") for c in ("supplier", "w", "s", "n")])
-    both = m.join(other, [*SCOPE, "item"]).where("supplier < supplier2").groupBy(*SCOPE, "supplier", "supplier2").agg(*[F.sum(c).alias(c) for c in ("w", "s", "n", "w2", "s2", "n2")], F.count(F.lit(1)).alias("items"))
-    t = totals(p)
-    far = t.select(*SCOPE, *[F.col(c).alias(f"{c}2") for c in ("supplier", "total_weight", "total_spend", "total_lines", "named_weight")])
-    x = both.join(t, KEY).join(far, [*SCOPE, "supplier2"])
+    # A supplier in a scope, and an item in a scope, by 64-bit keys: millions of pairs are joined and grouped on whole numbers.
+    m = matchable(p).select(F.xxhash64(*KEY).alias("k"), F.xxhash64(*SCOPE, "item").alias("at"), (F.col("weight") * 10_000).cast("bigint").alias("w"), F.coalesce((F.col("spend") * 10_000).cast("bigint"), F.lit(0)).alias("s"), F.col("lines").alias("n"))
+    m = cut(m)
+    other = m.select("at", *[F.col(c).alias(f"{c}2") for c in ("k", "w", "s", "n")])
+    both = m.join(other, "at").where("k < k2").groupBy("k", "k2").agg(*[F.sum(c).alias(c) for c in ("w", "s", "n", "w2", "s2", "n2")], F.count(F.lit(1)).alias("items"))
+    t = totals(p).withColumn("k", F.xxhash64(*KEY))
+    far = t.select(*[F.col(c).alias(f"{c}2") for c in ("k", "supplier", "total_weight", "total_spend", "total_lines", "named_weight")])
     cover = lambda w, tw: F.when(F.col(tw) > 0, (F.col(w) / 10_000) / F.col(tw).cast("double")).otherwise(0.0)
-    x = x.withColumn("c", cover("w", "total_weight")).withColumn("c2", cover("w2", "total_weight2"))
+    weight = t.select("k", "total_weight")
+    x = both.join(weight, "k").join(weight.select(F.col("k").alias("k2"), F.col("total_weight").alias("total_weight2")), "k2")
+    x = x.withColumn("c", cover("w", "total_weight")).withColumn("c2", cover("w2", "total_weight2")).where((F.col("c") >= RETAIN) | (F.col("c2") >= RETAIN)).drop("total_weight", "total_weight2")
+    x = x.join(t, "k").join(far, "k2")
     one = lambda a, b: F.struct(
         F.col(f"supplier{a}").alias("supplier"), F.col(f"supplier{b}").alias("partner"), (F.col(f"w{a}") / 10_000).alias("matched_weight"), (F.col(f"s{a}") / 10_000).alias("addressable_spend"), F.col("items").alias("exact_items"), F.col(f"n{b}").alias("partner_lines"),
         *[F.col(f"{c}{a}").alias(c) for c in ("total_weight", "total_spend", "total_lines", "named_weight")], F.col(f"c{a}").alias("coverage"),
         F.when(F.col(f"c{b}") >= RETAIN, F.col(f"c{b}")).otherwise(0.0).alias("reverse_coverage"), F.when(F.col(f"c{b}") >= RETAIN, F.col(f"s{b}") / 10_000).otherwise(0.0).alias("partner_spend"),
     )
-    way = lambda a, b: F.when(F.col(f"c{a}") >= RETAIN, one(a, b))
+    way = lambda a, b: F.when(F.col(f"c{a}") >= floor, one(a, b))
     return x.select(*SCOPE, F.inline(F.array_compact(F.array(way("", "2"), way("2", "")))))
 
 
@@ -138,7 +142,7 @@ def band(coverage: Column) -> Column:
 def overlaps(p: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """Reach with its reverse, confidence and bands, at the report floor and the retained partners of each supplier."""
     if edges is None:
-        o = reach_both_ways(p).where(F.col("coverage") >= REPORT).withColumn("exact_weight", F.col("matched_weight")).withColumn("similar_items", F.lit(0).cast("bigint"))
+        o = reach_both_ways(p, REPORT).withColumn("exact_weight", F.col("matched_weight")).withColumn("similar_items", F.lit(0).cast("bigint"))
     else:
         r = reach(p, edges)
         back = r.select(*SCOPE, F.col("supplier").alias("partner"), F.col("partner").alias("supplier"), F.col("coverage").alias("reverse_coverage"), F.col("addressable_spend").alias("partner_spend"))
