@@ -11,7 +11,6 @@ name too. Vendor numbers in common link forms as well. Only forms are ever compa
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
 from collections.abc import Iterator
