@@ -52,3 +52,22 @@ def cut(df: DataFrame) -> DataFrame:
 def parts(spark: SparkSession) -> int:
     """Number of shuffle partitions, for a repartition before Python: one by number isn't coalesced by size, which says nothing of its cost."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, so that Python stages find it wherever they run."""
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if getattr(sc, "_heddle_shipped", False):
+        return
+    root = Path(__file__).parent
+    # Spark serves the file from the driver; executors fetch it, none reads this folder.
+    path = Path(tempfile.mkdtemp(prefix="heddle-")) / "heddle.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*")):
+            if p.suffix in {".py", ".json"}:
+                z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    sc._heddle_shipped = True
