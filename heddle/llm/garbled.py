@@ -24,6 +24,8 @@ from ..session import cut, table
 
 # Letters beyond ASCII of the six languages, and signs met in such texts.
 LETTERS = "åäöæøüßąćęłńóśźżÅÄÖÆØÜĄĆĘŁŃÓŚŹŻ"
+#: Letters of other languages that names and loan words bring in.
+GUESTS = "ÂÃÇÊÈÉËÎÏÔÕÛÙÐÞÑâãçêèéëîïôõûùðþñŒœ"
 SIGNS = "°²³½¼¾±µ€№–—‘’“”„…•×·§«»©®™\xa0"
 #: Written in UTF-8 and read as one of these.
 READ_AS = ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp437", "cp850", "cp852", "cp1251", "mac_roman", "cp866", "koi8-r", "cp1257", "cp1254")
@@ -74,7 +76,7 @@ def _single() -> list[dict[str, str]]:
     maps: list[dict[str, str]] = []
     for w, r in ONE_BYTE:
         m = {}
-        for c in LETTERS + "°²½±µØ–":
+        for c in LETTERS + GUESTS + "°²½±µØ–€":
             try:
                 g = read_wrongly(c.encode(w), r)
             except UnicodeEncodeError:
@@ -102,8 +104,8 @@ def _sure(text: str, i: int) -> bool:
         return left and right or (left or right) and not (before.isspace() and after.isspace()) and len(re.findall(r"\w+", text[max(0, i - 12) : i + 12])) > 0 and _mixed(text, i)
     if c == "ⁿ":
         return left
-    if c == "û":
-        return not left and not right
+    if c in "ûÇ":  # a dash and a euro sign of their own
+        return before.isspace() and after.isspace()
     if not c.isalpha() and c not in SPACE_LIKE and c not in "°²½¼¾±€№·&×§©®™":
         return left and right
     if c in "³¹":
@@ -159,8 +161,8 @@ def mend(text: str) -> tuple[bool, str, list[tuple[str, str]]]:
         now = "".join(best.get(c, c) if c in bad or (c in best and beside.get(i) and not c.isalnum()) else c for i, c in enumerate(now))
     for w in set(re.findall(r"[^\s,;:|/()]+", now)):
         w = w.strip("\"'“”„.!?[]{}–-")
-        if _suspects().search(w):
-            for right in {"".join(m.get(c, c) for c in w) for m in _single()}:
+        if re.search("[A-Za-z]", w) and _suspects().search(w):
+            for right in {"".join(m.get(c, c) if m.get(c, c) in LETTERS else c for c in w) for m in _single()}:
                 if right != w and all(c.isalpha() for c in right) and not any(c in right for c in set(_suspects().findall(w)) - set(LETTERS)):
                     doubt.append((w, right))
     return damaged, now, doubt

@@ -50,6 +50,9 @@ def test_mixed_text_stays():
     assert garbled.mend("Öljy sÃ¤iliÃ¶ – ärlig") == (True, "Öljy säiliö – ärlig", [])
     for right in ("FENÊTRE", "proteção", "âge Œuvre Ðelta", "20 °C ±2 mm № 7 ½", "PÅ–GRUND", "DÅ\xa0LÖPANDE", "SISÄÄ…", "m³ €"):
         assert not garbled.mend(right)[0], right
+    for bad, good in (("objekt C┬BLE", "objekt CÂBLE"), ("105 15 Ç / h", "105 15 € / h"), ("(╪ 50)", "(Ø 50)")):
+        assert garbled.mend(bad)[:2] == (True, good)
+    assert garbled.mend("15 € / h") == (False, "15 € / h", [])
 
 
 def test_garbled_edges(spark):
