@@ -99,7 +99,8 @@ def _sure(text: str, i: int) -> bool:
     left, right = bool(_LATIN.match(before)), bool(_LATIN.match(after))
     o = ord(c)
     if 0x2500 <= o <= 0x25A0:
-        return left or right or before.isdigit() or before in "( " and after in " )" and before != after or c in "░▒▓"
+        # Drawn tables hold them side by side, or a plain line alone.
+        return left or right or before.isdigit() or (c not in "─│═║" and not any(0x2500 <= ord(x) <= 0x25A0 for x in (before, after)))
     if 0x370 <= o <= 0x52F and o != 0x3BC:  # Greek or Cyrillic inside a Latin word; a lone one may be a sign
         return left and right or (left or right) and not (before.isspace() and after.isspace()) and len(re.findall(r"\w+", text[max(0, i - 12) : i + 12])) > 0 and _mixed(text, i)
     if c == "ⁿ":
