@@ -54,7 +54,7 @@ def overlap_bands(s, d):
 
 def best_partner(s, d):
     """The headline: best partner of each supplier in each scope, and the next five as text."""
-    o = C.overlaps(_p(s, d)).where("rank <= 6")
+    o = C.overlaps(_p(s, d), most=1 + C.SHOWN)
     alt = F.concat_ws("; ", F.transform(F.array_sort(F.filter(F.collect_list(F.struct("rank", "partner")), lambda x: x["rank"] > 1)), lambda x: x["partner"]))
     one = lambda c: F.max(F.when(F.col("rank") == 1, F.col(c)))
     return o.groupBy(*C.KEY).agg(one("partner").alias("partner"), F.round(one("coverage"), 6).alias("coverage"), one("confidence").alias("confidence"), one("consolidation_band").alias("band"), alt.alias("alternatives"))

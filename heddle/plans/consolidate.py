@@ -2,22 +2,26 @@
 
 Lines are folded to (scope, supplier, item) once; nothing after that sees a line. Overlap is an
 equi-join of the folded portfolio with itself on scope and item, so no pair of suppliers is formed
-that shares nothing. Items that more suppliers hold than the fan-out, and scopes of more suppliers
-than the guard, tell suppliers apart no better and are left out of matching, as the semantics ask.
+that shares nothing. Every scope and every named item takes part, however many suppliers hold it; the
+reference's memory guards (FANOUT, SCOPE_CAP) are parameters that are off unless a caller sets them.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import cut, table
+from ..session import cut, parts, table
 
 LEVELS = ["category_l1", "category_l2", "category_l3", "category_l4", "business_area", "division"]
 # Thresholds of the analysis.
 HIGH, MEDIUM, REPORT, RETAIN = 0.60, 0.30, 0.10, 0.02
 MIN_SPEND, MIN_LINES, FANOUT, SCOPE_CAP, RETAINED, SHOWN, SATURATION = 10_000, 3, 2_000, 5_000, 50, 5, 25
+# Suppliers of a task, its partners if it ranks them and if it returns all, pairs held and lines expanded at a time.
+BLOCK, SPAN, SQUARE, CELLS, CHUNK = 5_000, 10_000, 1_000, 1_000_000, 1_000_000
 SCOPE = ["scope_level", "scope_value"]
 KEY = [*SCOPE, "supplier"]
 
@@ -66,11 +70,14 @@ def scope_sizes(p: DataFrame) -> DataFrame:
     return p.groupBy(*SCOPE).agg(F.countDistinct("supplier").alias("suppliers"))
 
 
-def matchable(p: DataFrame) -> DataFrame:
-    """Named items of scopes within the guards, and items within the fan-out."""
-    keep = scope_sizes(p).where(F.col("suppliers").between(2, SCOPE_CAP)).select(*SCOPE)
-    crowded = holders(p).where(F.col("holders") > FANOUT).select(*SCOPE, "item")
-    return p.where("named").join(keep, SCOPE, "left_semi").join(crowded, [*SCOPE, "item"], "left_anti")
+def matchable(p: DataFrame, scope_cap: int | None = None, fanout: int | None = None) -> DataFrame:
+    """Named items of every scope; the caps leave out scopes of more suppliers, and items of more holders, if given."""
+    m = p.where("named")
+    if scope_cap is not None:
+        m = m.join(scope_sizes(p).where(F.col("suppliers") <= scope_cap).select(*SCOPE), SCOPE, "left_semi")
+    if fanout is not None:
+        m = m.join(holders(p).where(F.col("holders") > fanout).select(*SCOPE, "item"), [*SCOPE, "item"], "left_anti")
+    return m
 
 
 def reach(p: DataFrame, edges: DataFrame | None = None) -> DataFrame:
@@ -104,31 +111,98 @@ def _summed(best: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def reach_both_ways(p: DataFrame, floor: float = RETAIN) -> DataFrame:
-    """reach over equal items with its reverse, from one join of each unordered pair: half the rows, and no second join for the reverse.
+def reach_both_ways(p: DataFrame, floor: float = RETAIN, most: int | None = None, scope_cap: int | None = None, fanout: int | None = None, block: int | None = None, span: int | None = None) -> DataFrame:
+    """reach over equal items with its reverse; with ``most``, at least the first ``most`` partners of each supplier in rank order.
 
-    Weights and spend are summed as whole ten-thousandths, which is exact and stays in registers.
+    Suppliers of a scope are numbered by name. A task takes ``block`` of them against ``span`` partners and has all
+    lines of both, so a pair is summed in one place and no pair is shuffled before the floor and the rank are applied.
+    Weights and spend are summed as whole ten-thousandths, which is exact.
     """
-    p = cut(p)  # read five times below
-    # A supplier in a scope, and an item in a scope, by 64-bit keys: millions of pairs are joined and grouped on whole numbers.
-    m = matchable(p).select(F.xxhash64(*KEY).alias("k"), F.xxhash64(*SCOPE, "item").alias("at"), (F.col("weight") * 10_000).cast("bigint").alias("w"), F.coalesce((F.col("spend") * 10_000).cast("bigint"), F.lit(0)).alias("s"), F.col("lines").alias("n"))
-    m = cut(m)
-    other = m.select("at", *[F.col(c).alias(f"{c}2") for c in ("k", "w", "s", "n")])
-    both = m.join(other, "at").where("k < k2").groupBy("k", "k2").agg(*[F.sum(c).alias(c) for c in ("w", "s", "n", "w2", "s2", "n2")], F.count(F.lit(1)).alias("items"))
-    t = totals(p).withColumn("k", F.xxhash64(*KEY))
-    far = t.select(*[F.col(c).alias(f"{c}2") for c in ("k", "supplier", "total_weight", "total_spend", "total_lines", "named_weight")])
-    cover = lambda w, tw: F.when(F.col(tw) > 0, (F.col(w) / 10_000) / F.col(tw).cast("double")).otherwise(0.0)
-    weight = t.select("k", "total_weight")
-    x = both.join(weight, "k").join(weight.select(F.col("k").alias("k2"), F.col("total_weight").alias("total_weight2")), "k2")
-    x = x.withColumn("c", cover("w", "total_weight")).withColumn("c2", cover("w2", "total_weight2")).where((F.col("c") >= RETAIN) | (F.col("c2") >= RETAIN)).drop("total_weight", "total_weight2")
-    x = x.join(t, "k").join(far, "k2")
-    one = lambda a, b: F.struct(
-        F.col(f"supplier{a}").alias("supplier"), F.col(f"supplier{b}").alias("partner"), (F.col(f"w{a}") / 10_000).alias("matched_weight"), (F.col(f"s{a}") / 10_000).alias("addressable_spend"), F.col("items").alias("exact_items"), F.col(f"n{b}").alias("partner_lines"),
-        *[F.col(f"{c}{a}").alias(c) for c in ("total_weight", "total_spend", "total_lines", "named_weight")], F.col(f"c{a}").alias("coverage"),
-        F.when(F.col(f"c{b}") >= RETAIN, F.col(f"c{b}")).otherwise(0.0).alias("reverse_coverage"), F.when(F.col(f"c{b}") >= RETAIN, F.col(f"s{b}") / 10_000).otherwise(0.0).alias("partner_spend"),
+    p = cut(p)  # read three times below
+    block, span = block or (BLOCK if most else SQUARE), span or (SPAN if most else SQUARE)  # without a rank a task may return every pair that it sees
+    t = totals(p).withColumn("z", F.xxhash64(*SCOPE)).withColumn("r", F.row_number().over(Window.partitionBy(*SCOPE).orderBy("supplier")) - 1)
+    t = cut(t)
+    last = t.groupBy("z").agg(F.max("r").alias("last"))
+    m = matchable(p, scope_cap, fanout).join(t.select(*KEY, "z", "r", F.col("total_weight").cast("double").alias("tw")), KEY).join(F.broadcast(last), "z")
+    m = m.select("z", "r", "last", "tw", F.xxhash64("item").alias("item"), (F.col("weight") * 10_000).cast("bigint").alias("w"), F.coalesce((F.col("spend") * 10_000).cast("bigint"), F.lit(0)).alias("s"), F.col("lines").alias("n"))
+    group = lambda c, size: F.floor(F.col(c) / size).cast("int")
+    every = lambda size: F.explode(F.sequence(F.lit(0), group("last", size)))
+    cols = ["z", "r", "tw", "item", "w", "s", "n"]
+    near = m.select(*cols, F.lit(True).alias("own"), group("r", block).alias("b"), every(span).alias("f"))
+    far = m.select(*cols, F.lit(False).alias("own"), every(block).alias("b"), group("r", span).alias("f"))
+    task = near.unionByName(far).repartition(parts(p.sparkSession), "z", "b", "f")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _strip(pdf, floor, most)
+
+    x = task.groupBy("z", "b", "f").applyInPandas(run, "z bigint, r int, r2 int, w bigint, s bigint, items bigint, partner_lines bigint, coverage double, reverse_coverage double, s2 bigint")
+    x = x.join(t, ["z", "r"]).join(t.select("z", F.col("r").alias("r2"), F.col("supplier").alias("partner")), ["z", "r2"])
+    back = F.col("reverse_coverage") >= RETAIN
+    return x.select(
+        *KEY, "partner", (F.col("w") / 10_000).alias("matched_weight"), (F.col("s") / 10_000).alias("addressable_spend"), F.col("items").alias("exact_items"), "partner_lines", "total_weight", "total_spend", "total_lines", "named_weight", "coverage",
+        F.when(back, F.col("reverse_coverage")).otherwise(0.0).alias("reverse_coverage"), F.when(back, F.col("s2") / 10_000).otherwise(0.0).alias("partner_spend"),
     )
-    way = lambda a, b: F.when(F.col(f"c{a}") >= floor, one(a, b))
-    return x.select(*SCOPE, F.inline(F.array_compact(F.array(way("", "2"), way("2", "")))))
+
+
+def _first(best: dict[str, np.ndarray], most: int) -> dict[str, np.ndarray]:
+    """The ``most`` first partners of each supplier, as overlaps ranks them; partners are numbered by name."""
+    order = np.lexsort((best["r2"], -best["s"], -best["n"], -best["c"], best["r"]))
+    r = best["r"][order]
+    order = order[np.arange(len(r)) - np.searchsorted(r, r, "left") < most]
+    return {c: v[order] for c, v in best.items()}
+
+
+def _strip(pdf: pd.DataFrame, floor: float, most: int | None, cells: int = CELLS) -> pd.DataFrame:
+    """The pairs of one block of suppliers (``own``) with the partners given, at the floor and, with ``most``, first by rank."""
+    own = pdf["own"].to_numpy(bool)
+    get = lambda some, *names: [pdf[c].to_numpy()[some] for c in names]
+    one = np.flatnonzero(own)
+    one = one[np.argsort(pdf["item"].to_numpy()[one], kind="stable")]
+    two = np.flatnonzero(~own)
+    two = two[np.argsort(pdf["r"].to_numpy()[two], kind="stable")]
+    ar, ai, aw, as_, at = get(one, "r", "item", "w", "s", "tw")
+    br, bi, bw, bs, bn, bt = get(two, "r", "item", "w", "s", "n", "tw")
+    lo, hi = np.searchsorted(ai, bi, "left"), np.searchsorted(ai, bi, "right")
+    best = {c: np.empty(0, np.float64 if c[0] == "c" else np.int64) for c in ("r", "r2", "w", "s", "items", "n", "c", "c2", "s2")}
+    ids, a_at = np.unique(ar, return_inverse=True)
+    total = np.zeros(len(ids))
+    total[a_at] = at
+    # Partners in pieces, so that the sums of a piece fit a small matrix.
+    pieces = np.split(np.arange(len(br)), np.flatnonzero(np.diff(br // max(1, cells // max(1, len(ids))))) + 1)
+    for rows in pieces:
+        rows = rows[hi[rows] > lo[rows]]
+        if not len(ids) or not len(rows):
+            continue
+        them, b_at = np.unique(br[rows], return_inverse=True)
+        total2 = np.zeros(len(them))
+        total2[b_at] = bt[rows]
+        acc = np.zeros((6, len(ids) * len(them)), np.int64)
+        count = hi[rows] - lo[rows]
+        for k in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(np.cumsum(count) // CHUNK)) + 1):
+            c = count[k]
+            j = np.repeat(k, c)
+            i = np.repeat(lo[rows[k]], c) + np.arange(len(j)) - np.repeat(np.cumsum(c) - c, c)
+            flat, far = a_at[i] * len(them) + b_at[j], rows[j]
+            for n, v in enumerate((aw[i], as_[i], 1, bn[far], bw[far], bs[far])):
+                np.add.at(acc[n], flat, v)
+        shape = (len(ids), len(them))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cover = np.where(total[:, None] > 0, (acc[0].reshape(shape) / 10_000) / total[:, None], 0.0)
+            back = np.where(total2 > 0, (acc[4].reshape(shape) / 10_000) / total2, 0.0)
+        cover[ids[:, None] == them[None, :]] = -1.0
+        cover[(acc[2] == 0).reshape(shape)] = -1.0
+        least = np.full((len(ids), 1), floor)
+        if most and len(them) > most:
+            least = np.maximum(least, -np.partition(-cover, most - 1, axis=1)[:, most - 1 : most])
+        a, b = np.nonzero(cover >= least)
+        at_ = a * len(them) + b
+        new = {"r": ids[a], "r2": them[b], "w": acc[0][at_], "s": acc[1][at_], "items": acc[2][at_], "n": acc[3][at_], "c": cover[a, b], "c2": back[a, b], "s2": acc[5][at_]}
+        best = {c: np.concatenate([best[c], new[c]]) for c in best}
+        if most and len(best["r"]) > 2 * max(cells, most * len(ids)):
+            best = _first(best, most)
+    best = _first(best, most) if most else best
+    names = {"n": "partner_lines", "c": "coverage", "c2": "reverse_coverage"}
+    return pd.DataFrame({"z": np.full(len(best["r"]), pdf["z"].iloc[0]), **{names.get(c, c): v for c, v in best.items()}})[["z", "r", "r2", "w", "s", "items", "partner_lines", "coverage", "reverse_coverage", "s2"]]
 
 
 def sufficiency(lines: Column) -> Column:
@@ -139,16 +213,16 @@ def band(coverage: Column) -> Column:
     return F.when(coverage >= HIGH, "High").when(coverage >= MEDIUM, "Medium").otherwise("Low")
 
 
-def overlaps(p: DataFrame, edges: DataFrame | None = None) -> DataFrame:
-    """Reach with its reverse, confidence and bands, at the report floor and the retained partners of each supplier."""
+def overlaps(p: DataFrame, edges: DataFrame | None = None, most: int = RETAINED) -> DataFrame:
+    """Reach with its reverse, confidence and bands, at the report floor and the ``most`` first partners of each supplier."""
     if edges is None:
-        o = reach_both_ways(p, REPORT).withColumn("exact_weight", F.col("matched_weight")).withColumn("similar_items", F.lit(0).cast("bigint"))
+        o = reach_both_ways(p, REPORT, most).withColumn("exact_weight", F.col("matched_weight")).withColumn("similar_items", F.lit(0).cast("bigint"))
     else:
         r = reach(p, edges)
         back = r.select(*SCOPE, F.col("supplier").alias("partner"), F.col("partner").alias("supplier"), F.col("coverage").alias("reverse_coverage"), F.col("addressable_spend").alias("partner_spend"))
         o = r.where(F.col("coverage") >= REPORT).join(back, [*KEY, "partner"], "left").fillna(0.0, ["reverse_coverage", "partner_spend"])
     w = Window.partitionBy(*KEY).orderBy(F.desc("coverage"), F.desc("partner_lines"), F.desc("addressable_spend"), "partner")
-    o = o.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= RETAINED)
+    o = o.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
     named = F.col("named_weight").cast("double") / F.col("total_weight").cast("double")
     direct = F.when(F.col("matched_weight") > 0, F.col("exact_weight") / F.col("matched_weight")).otherwise(0.0)
     conf = (0.45 + 0.55 * sufficiency(F.col("total_lines"))) * (0.55 + 0.45 * named) * (0.80 + 0.20 * direct) * (0.55 + 0.45 * sufficiency(F.col("partner_lines")))
