@@ -11,6 +11,7 @@ from .functions import extract as X
 from .functions import sql as Q
 from .functions import text as T
 from .operators.graph import components
+from .operators.skew import attach_by_key
 from .plans import enrich as E
 from .plans import group as G
 from .plans import match as M
@@ -343,19 +344,28 @@ SQL["nearest_rank_percentiles"] = "SELECT share::DOUBLE AS share, spend_eur AS v
 
 
 def _match_sides(s, d):
-    q = _a1(s, d, F.col("line_id").alias("q"), F.col(_E).alias("text")).where("text <> ''")
-    q = q.groupBy(T.lookup_key("text").alias("key")).agg(F.min("q").alias("q")).withColumnRenamed("key", "text")
+    """Rows whose id is divisible by 20, their distinct texts with the least such id, and the catalogue."""
+    rows = _a1(s, d, F.col("line_id").alias("line"), F.col(_E).alias("text")).where("text <> '' AND line % 20 = 0")
     i = table(s, d, "reference_items").select(F.col("item_row").alias("i"), F.coalesce(F.nullif("english_description", F.lit("")), F.col("description")).alias("item"))
-    return q, i
+    return rows, i
+
+
+def _back_to_rows(rows, found, key, *cols):
+    """The answers (q, cols) of each distinct text on every row that has it."""
+    facts = found.groupBy("q").agg(F.collect_list(F.struct(*cols)).alias("found")).join(rows.groupBy(key).agg(F.min("line").alias("q")), "q").select(key, "found")
+    return attach_by_key(rows, facts, [key], ["line"]).select(F.col("line").alias("q"), F.inline("found"))
 
 
 @query
 def char_tfidf_topk(s, d):
-    """The five catalogue items nearest to every twentieth distinct description by character n-grams."""
-    q, i = _match_sides(s, d)
+    """The five catalogue items nearest by character n-grams to the description of every row whose id is divisible by 20."""
+    rows, i = _match_sides(s, d)
+    rows = rows.select("line", T.lookup_key("text").alias("text"))
+    q = rows.groupBy("text").agg(F.min("line").alias("q"))
     grams = lambda c: M.char_grams(F.col(c))
     space = M.idf(i, "i", grams("item"))
-    return M.lexical_topk(M.tfidf(q.where("q % 20 = 0"), "q", grams("text"), space), "q", M.tfidf(i, "i", grams("item"), space), "i", 5)
+    near = M.lexical_topk(M.tfidf(q, "q", grams("text"), space), "q", M.tfidf(i, "i", grams("item"), space), "i", 5)
+    return _back_to_rows(rows, near, "text", "i", "score", "rank")
 
 
 @query

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from heddle import catalogue_analytics as A
 from heddle.plans import consolidate as C
 
 
@@ -36,3 +37,15 @@ def test_overlap_over_blocks(spark):
     best = {w for a in held for w in sorted((w for w in want if w[0] == a and w[2] >= C.REPORT), key=lambda w: (-w[2], -w[3], -10 * sum(n for i, n in held[a].items() if i in held[w[1]]), w[1]))[:3]}
     got = C.reach_both_ways(p, C.REPORT, 3, block=7, span=14)
     assert best <= pick(got) and got.groupBy("supplier").count().agg(F.max("count")).first()[0] <= 9
+
+
+def catalogue(spark, folder, lines, items):
+    spark.createDataFrame(lines, "line_id bigint, enriched_purchase_description string").write.parquet(f"{folder}/agent1_unified_lines.parquet")
+    spark.createDataFrame([(k, x, None) for k, x in items], "item_row bigint, description string, english_description string").write.parquet(f"{folder}/reference_items.parquet")
+    return str(folder)
+
+
+def test_every_twentieth_row_is_answered(spark, tmp_path):
+    d = catalogue(spark, tmp_path / "d", [(1, "Hex bolt"), (20, "Hex bolt"), (21, "Hex bolt"), (40, "hex bolt"), (60, "Safety glove")], [(1, "Hex bolt M8"), (2, "Safety gloves")])
+    got = {(r["q"], r["i"]) for r in A.char_tfidf_topk(spark, d).where("rank = 1").collect()}
+    assert got == {(20, 1), (40, 1), (60, 2)}
