@@ -380,19 +380,24 @@ def word_tfidf_sim(s, d):
 
 @query
 def match_scores(s, d):
-    """Constraint scoring of the five items nearest to every twentieth title: score, band and confidence."""
-    i = table(s, d, "reference_items").select(F.col("item_row").alias("i"), F.coalesce(F.nullif("english_description", F.lit("")), F.col("description")).alias("item"))
-    q = table(s, d, "reference_items").where("item_row % 20 = 0").select(F.col("item_row").alias("q"), F.col("description").alias("text"))
+    """The five best catalogue items by constraint scoring for every row whose id is divisible by 20: score, band and confidence.
+
+    Scored are the 20 items lexically nearest to a description and every item that shares a code with it.
+    """
+    rows, i = _match_sides(s, d)
+    q = rows.groupBy("text").agg(F.min("line").alias("q"))
     space = M.idf(i, "i", M.char_grams(F.col("item")))
-    near = M.lexical_topk(M.tfidf(q, "q", M.char_grams(F.col("text")), space), "q", M.tfidf(i, "i", M.char_grams(F.col("item")), space), "i", 5)
-    p = near.join(q, "q").join(i, "i")
+    p = M.shortlist(q, i, M.tfidf(q, "q", M.char_grams(F.col("text")), space), M.tfidf(i, "i", M.char_grams(F.col("item")), space))
+    p = p.join(q, "q").join(i, "i")
     agree = X.spec_agreement(X.spec_read("text"), X.spec_read("item"))
     code = F.arrays_overlap(X.item_codes("text"), X.item_codes("item"))
     fit = M.type_compatible(F.col("text"), F.col("item"), default().service_markers)
     p = p.withColumns({"agree": agree, "code": code, "fit": fit})
     sc = M.match_score(F.lit(0.0), F.col("score"), F.col("code"), F.col("fit"), F.col("agree"))
     p = p.withColumn("lexical", F.col("score")).withColumn("match_score", sc).where(F.col("match_score") >= M.REPORT)
-    return p.select("q", "i", "match_score", M.match_band(F.col("match_score")).alias("band"), M.match_confidence(F.col("match_score"), F.lit(0.0), F.col("lexical"), F.col("code"), F.col("fit"), F.col("agree")).alias("confidence"))
+    p = M.top_k(p, ["q"], [F.desc("match_score"), F.col("i")], M.TOP_K)
+    p = p.select("q", "i", "match_score", M.match_band(F.col("match_score")).alias("band"), M.match_confidence(F.col("match_score"), F.lit(0.0), F.col("lexical"), F.col("code"), F.col("fit"), F.col("agree")).alias("confidence"))
+    return _back_to_rows(rows, p, "text", "i", "match_score", "band", "confidence")
 
 
 @query

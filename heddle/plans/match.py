@@ -7,10 +7,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import extract as X
 from ..functions import text as T
 
 # Thresholds, penalties and weights.
 HIGH, ACCEPT, MINIMUM, REPORT, TYPE_PENALTY, SPEC_PENALTY, SEMANTIC, LEXICAL = 0.80, 0.65, 0.50, 0.40, 0.55, 0.70, 0.60, 0.40
+TOP_K, RETRIEVAL_MULTIPLIER = 5, 4
 MIN_TIMES, MIN_SPEND, TOLERANCE = 3, 1_000, 0.25
 EMPTY_HEADS = ["work", "service", "services", "item", "items", "set", "unit", "part", "parts", "supply", "supplies", "kit"]
 
@@ -46,6 +48,15 @@ def lexical_topk(queries: DataFrame, q: str, items: DataFrame, i: str, k: int =
     return top_k(dot, [q], [F.desc("score"), F.col(i)], k)
 
 
+def shortlist(q: DataFrame, i: DataFrame, qv: DataFrame, iv: DataFrame, k: int = TOP_K * RETRIEVAL_MULTIPLIER) -> DataFrame:
+    """(q, i, score): the k items lexically nearest to each query text, and every item that shares a code, with its lexical score."""
+    near = lexical_topk(qv, "q", iv, "i", k).select("q", "i", "score")
+    of = lambda df, key, c: df.select(key, F.explode(X.item_codes(c)).alias("code"))
+    coded = of(q, "q", "text").join(of(i, "i", "item"), "code").select("q", "i").distinct().join(near, ["q", "i"], "left_anti")
+    dot = coded.join(qv, "q").join(iv.withColumnRenamed("w", "iw"), ["i", "term"]).groupBy("q", "i").agg(F.round(F.sum(F.col("w") * F.col("iw")), 6).alias("score"))
+    return near.unionByName(coded.join(dot, ["q", "i"], "left").select("q", "i", F.coalesce("score", F.lit(0.0)).alias("score")))
+
+
 def top_k(rows: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= k)
 

@@ -49,3 +49,10 @@ def test_every_twentieth_row_is_answered(spark, tmp_path):
     d = catalogue(spark, tmp_path / "d", [(1, "Hex bolt"), (20, "Hex bolt"), (21, "Hex bolt"), (40, "hex bolt"), (60, "Safety glove")], [(1, "Hex bolt M8"), (2, "Safety gloves")])
     got = {(r["q"], r["i"]) for r in A.char_tfidf_topk(spark, d).where("rank = 1").collect()}
     assert got == {(20, 1), (40, 1), (60, 2)}
+
+
+def test_a_shared_code_beyond_the_nearest_is_scored(spark, tmp_path):
+    near = [(k, f"Hydraulic pump seal kit spare {'abcdefghijklmnopqrstuvwxyz'[k]}") for k in range(26)]
+    d = catalogue(spark, tmp_path / "d", [(20, "Hydraulic pump seal kit spare QX7741"), (21, "Hydraulic pump")], [*near, (99, "Other words altogether on this listing about a pump, QX7741")])
+    got = {(r["q"], r["i"]) for r in A.match_scores(spark, d).collect()}
+    assert (20, 99) in got and len(got) == 5 and {q for q, _ in got} == {20}
