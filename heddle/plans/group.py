@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-# Distance of the cut, cohesion below which a group is Other, words of a label, largest bucket, groups wanted.
-DISTANCE, MIN_COHESION, LABEL_WORDS, BUCKET_CAP, MIN_GROUPS, MAX_GROUPS = 0.35, 0.45, 5, 6_000, 10, 50
+# Distance of the cut, cohesion below which a group is Other, words of a label, groups wanted.
+DISTANCE, MIN_COHESION, LABEL_WORDS, MIN_GROUPS, MAX_GROUPS = 0.35, 0.45, 5, 10, 50
 
 
 def entries(lines: DataFrame) -> DataFrame:
@@ -81,59 +81,75 @@ def similarity_matrix(signatures: list[str]) -> np.ndarray:
     return both / np.maximum(n[:, None] + n[None, :] - both, 1)
 
 
+def _parted(signatures: list[str], least: float) -> list[np.ndarray]:
+    """The connected components of the signatures whose similarity exceeds ``least``, members in order; found by shared lemmas."""
+    words = [sorted(_grams(s)) for s in signatures]
+    rows: dict[str, list[int]] = {}
+    for i, ws in enumerate(words):
+        for w in ws:
+            rows.setdefault(w, []).append(i)
+    at = {w: np.array(r) for w, r in rows.items()}
+    n = np.array([len(ws) for ws in words])
+    label = np.arange(len(words))
+    for i, ws in enumerate(words):
+        near, both = np.unique(np.concatenate([at[w] for w in ws]), return_counts=True)
+        found = np.unique(label[near[both / (n[i] + n[near] - both) > least]])
+        if len(found) > 1:
+            label[np.isin(label, found)] = found[0]
+    order = np.argsort(label, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(label[order])) + 1) if len(order) else []
+
+
 def cluster_bucket(signatures: list[str], distance: float = DISTANCE, adaptive: bool = True) -> list[int]:
     """The cluster of each signature (numbered by its first member); with ``adaptive`` the cut is bisected for 10 to 50 groups.
 
-    The merges are made once, down to the loosest cut; every other cut is a prefix of them.
+    The merges are made once, down to the loosest cut; every other cut is a prefix of them. Clusters of different
+    components at that cut have a mean similarity below it and never merge, so each component is merged by
+    itself, and the cut is chosen over the merges of all of them.
     """
     order = sorted(range(len(signatures)), key=lambda i: signatures[i])
-    sim = similarity_matrix([signatures[i] for i in order])
-    _, merges = _linkage(sim, 1 - (0.70 if adaptive else distance) - 1e-12)
+    names = [signatures[i] for i in order]
+    loosest = 1 - (0.70 if adaptive else distance) - 1e-12
+    merges = []
+    for part in _parted(names, loosest - 1e-6):
+        if len(part) > 1:
+            merges += [(v, int(part[i]), int(part[j])) for v, i, j in _linkage(similarity_matrix([names[k] for k in part]), loosest)[1]]
 
-    def at(d: float) -> list[int]:
-        lab = list(range(len(order)))
-        for v, i, j in merges:
-            if not v > 1 - d:
-                break
-            lab = [i if x == j else x for x in lab]
-        return lab
+    def groups_at(d: float) -> int:
+        return len(order) - sum(v > 1 - d for v, _, _ in merges)
 
     d = distance
     if adaptive and len(order) >= 2 * MIN_GROUPS:
         lo, hi = 0.10, 0.70
-        groups = len(set(at(d)))
+        groups = groups_at(d)
         for _ in range(10):
             if MIN_GROUPS <= groups <= MAX_GROUPS:
                 break
             lo, hi = (lo, d) if groups < MIN_GROUPS else (d, hi)
             d = (lo + hi) / 2
-            groups = len(set(at(d)))
-    lab = at(d)
+            groups = groups_at(d)
+    into = {j: i for v, i, j in merges if v > 1 - d}
     out = [0] * len(order)
     for place, i in enumerate(order):
-        out[i] = lab[place]
+        while place in into:
+            place = into[place]
+        out[i] = place
     return out
 
 
-def clusters(e: DataFrame, distance: float = DISTANCE, adaptive: bool = True, cap: int = BUCKET_CAP) -> DataFrame:
-    """entries with ``cluster``; a bucket of more than ``cap`` entries is split by the first lemma, until parts fit.
+def clusters(e: DataFrame, distance: float = DISTANCE, adaptive: bool = True) -> DataFrame:
+    """entries with ``cluster``; a bucket is a group of distinct wordings, not of lines, and is clustered whole.
 
-    A bucket is a group of distinct wordings, not of lines, and the split bounds it: one task never holds more than ``cap``.
+    A task holds the similarities of the largest component of its bucket, so its memory grows with the square of that.
     """
-    depth = e.withColumn("_lem", F.split("signature", r"\|")).withColumn("_part", F.lit(""))
-    for level in range(3):
-        n = F.count(F.lit(1)).over(Window.partitionBy("bucket", "_part"))
-        depth = depth.withColumn("_n", n).withColumn("_part", F.when(F.col("_n") > cap, F.concat_ws("|", "_part", F.get("_lem", F.lit(level)))).otherwise(F.col("_part")))
-    # What three lemmas can't part is cut by rank into pieces of the cap.
-    rank = F.row_number().over(Window.partitionBy("bucket", "_part").orderBy("signature"))
-    depth = depth.withColumn("_part", F.concat_ws("#", "_part", F.floor((rank - 1) / cap).cast("string"))).drop("_lem", "_n")
-    cols = [f"{f.name} {f.dataType.simpleString()}" for f in depth.schema.fields]
+    cols = [f"{f.name} {f.dataType.simpleString()}" for f in e.schema.fields]
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         sig = pdf["signature"].tolist()
-        return pdf.assign(cluster=[sorted(sig)[c] for c in cluster_bucket(sig, distance, adaptive)])
+        names = sorted(sig)
+        return pdf.assign(cluster=[names[c] for c in cluster_bucket(sig, distance, adaptive)])
 
-    return depth.groupBy("bucket", "_part").applyInPandas(run, ", ".join([*cols, "cluster string"])).drop("_part")
+    return e.groupBy("bucket").applyInPandas(run, ", ".join([*cols, "cluster string"]))
 
 
 def cohesion(c: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from heddle import catalogue_analytics as A
 from heddle.plans import consolidate as C
+from heddle.plans import group as G
 
 
 def portfolio(spark, rows):
@@ -56,3 +57,27 @@ def test_a_shared_code_beyond_the_nearest_is_scored(spark, tmp_path):
     d = catalogue(spark, tmp_path / "d", [(20, "Hydraulic pump seal kit spare QX7741"), (21, "Hydraulic pump")], [*near, (99, "Other words altogether on this listing about a pump, QX7741")])
     got = {(r["q"], r["i"]) for r in A.match_scores(spark, d).collect()}
     assert (20, 99) in got and len(got) == 5 and {q for q, _ in got} == {20}
+
+
+def test_a_large_bucket_is_clustered_whole(spark):
+    rows = [(f"w{k:05d}",) for k in range(6_000)] + [("alpha|pump|seal",), ("zeta|pump|seal",)]
+    e = spark.createDataFrame(rows, "signature string").select(F.lit("b").alias("bucket"), "signature")
+    c = {r["signature"]: r["cluster"] for r in G.clusters(e).collect()}
+    assert c["alpha|pump|seal"] == c["zeta|pump|seal"] and len(set(c.values())) == 6_001
+
+
+def test_components_change_no_cluster():
+    random.seed(5)
+    for n in (0, 1, 15, 60, 150):
+        sig = sorted({"|".join(sorted(random.sample("abcdefghijklmnopqrstuvwxyz", random.randint(1, 4)))) for _ in range(n)})
+        merges = G._linkage(G.similarity_matrix(sig), 0.30 - 1e-12)[1] if sig else []
+        want, d, lo, hi = list(range(len(sig))), G.DISTANCE, 0.10, 0.70
+        for step in range(11):
+            want = list(range(len(sig)))
+            for v, i, j in merges:
+                want = [i if v > 1 - d and x == j else x for x in want]
+            if len(sig) < 20 or 10 <= len(set(want)) <= 50 or step == 10:
+                break
+            lo, hi = (lo, d) if len(set(want)) < 10 else (d, hi)
+            d = (lo + hi) / 2
+        assert G.cluster_bucket(sig) == want
