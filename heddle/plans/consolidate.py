@@ -236,8 +236,8 @@ def overlaps(p: DataFrame, edges: DataFrame | None = None, most: int = RETAINED)
 def item_neighbours(items: DataFrame, floor: float = 0.75, top: int = 8) -> DataFrame:
     """(item) to its nearest other items (item, neighbour, score): blocked on shared words of four letters or more.
 
-    A word in more items than the larger of 50 and a twentieth of all blocks nothing; the rest of the pairs it
-    would make are found by their other words. At most ``top`` neighbours per item, best first, then by name.
+    A word in more items than the larger of 50 and a twentieth of all is a stop word, as in the reference: items that
+    share no other word are no neighbours. At most ``top`` neighbours per item, best first, then by name.
     """
     it = items.where(F.col("item") != "").select("item").distinct()
     w = it.select("item", F.explode(F.array_distinct(F.filter(T.tokens("item"), lambda t: F.length(t) >= 4))).alias("w"))

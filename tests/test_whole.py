@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from heddle import catalogue_analytics as A
+from heddle import catalogue_consolidate as Q
 from heddle.plans import consolidate as C
 from heddle.plans import group as G
 
@@ -81,3 +82,8 @@ def test_components_change_no_cluster():
             lo, hi = (lo, d) if len(set(want)) < 10 else (d, hi)
             d = (lo + hi) / 2
         assert G.cluster_bucket(sig) == want
+
+
+def test_similar_overlap_has_every_level(spark, small):
+    levels = {r[0] for r in Q.best_overlap_similar(spark, small).select("scope_level").distinct().collect()}
+    assert {"category_l1", "category_l2", "business_area", "division"} <= levels
