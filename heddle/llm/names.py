@@ -34,7 +34,7 @@ LEGAL = {
 # Forms that say the same.
 SAME_LEGAL = {"aktiebolag": "ab", "aktieb": "ab", "handelsbolag": "hb", "handelsb": "hb", "limited": "ltd", "spolka": "sp", "osakeyhtio": "oy", "kommandiittiyhtio": "ky", "cokg": "kg", "oyab": "oy", "abp": "oyj", "aktiengesellschaft": "ag"}
 SOLE = {"tmi", "sole", "trader", "toiminimi"}
-#: Vendor numbers carried by more different forms than this are collective accounts and prove nothing.
+#: Vendor numbers carried by more different forms than this are looked into: one entity's, or a collective account's that proves nothing.
 COLLECTIVE = 20
 #: Likelihoods of the channel: one typing error, an abbreviation, a missing trade, an initial, a short form.
 TYPO, SHORT, OMIT, INITIAL, NICK = 0.02, 0.03, 0.02, 0.02, 0.1
@@ -279,7 +279,14 @@ def entities(suppliers: DataFrame, given_names: DataFrame) -> DataFrame:
 
     record_form = attach_by_key(spelled, forms.select(*form_cols, "form_id"), form_cols, ["supplier_row"]).select("supplier_row", "identifier", "form_id")
     numbers = record_form.where("identifier IS NOT NULL").select("identifier", "form_id").distinct()
-    common = numbers.groupBy("identifier").agg(F.min("form_id").alias("to_id"), F.count(F.lit(1)).alias("k")).where(f"k BETWEEN 2 AND {COLLECTIVE}")
+    common = numbers.groupBy("identifier").agg(F.min("form_id").alias("to_id"), F.count(F.lit(1)).alias("k")).where("k >= 2")
+    many = cut(common.where(f"k > {COLLECTIVE}").select("identifier"))
+    if not many.isEmpty():
+        # One entity's number has most of its records in one class of names; a collective account's are spread over many.
+        kind = components(edges, "form_id", "to_id").withColumnRenamed("node", "form_id")
+        carried = record_form.join(many, "identifier").groupBy("identifier", "form_id").agg(F.count(F.lit(1)).alias("n")).join(kind, "form_id", "left")
+        held = carried.groupBy("identifier", F.coalesce("component", "form_id").alias("c")).agg(F.sum("n").alias("n")).groupBy("identifier").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
+        common = common.join(held.where("2 * most <= all").select("identifier"), "identifier", "left_anti")
     edges = edges.unionByName(numbers.join(common, "identifier").select("form_id", "to_id"))
     comp = components(edges, "form_id", "to_id")
     classed = record_form.join(comp.withColumnRenamed("node", "form_id"), "form_id", "left").withColumn("c", F.coalesce("component", "form_id"))
