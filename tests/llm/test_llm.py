@@ -194,6 +194,25 @@ def test_tokens_against_library(spark, small):
     assert tokens.encode(df.limit(0), file=FILE).count() == 0
 
 
+def test_tokens_of_long_words_and_texts(monkeypatch):
+    """A word of any length is contracted in pieces and a long text in slices, with the library's ids."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(FILE)
+    random.seed(3)
+    letters = lambda some, n: "".join(random.choice(some) for _ in range(n))
+    texts = [letters("abcdefghijklmnopqrstuvwxyz", 60_000), letters("aab", 4000), "abc" * 3001 + "q" * 777, "zzä" * 999, "-" * 5001, letters("日本語漢字", 2000), "".join(random.choice(["the", "ing", "and", "aa"]) for _ in range(2000)), " ".join(letters("xyzåä", random.randrange(1, 200)) for _ in range(500))]
+    texts += [x[:n] for x in texts[:3] for n in (127, 128, 129, 159, 160, 161, 192, 193)]
+    e = tokens.Encoder(FILE)
+    for x, got in zip(texts, e.encode(texts)):
+        assert got.tolist() == t.encode(x, add_special_tokens=False).ids
+    own = sorted(e.bytes.values())
+    assert e.contract(own) == [[i] for i in sorted(e.bytes, key=e.bytes.get)]  # what the joining of pieces rests on
+    monkeypatch.setattr(tokens, "BATCH_CHARS", 100)
+    monkeypatch.setattr(tokens, "SLICE", 7)
+    assert [g.tolist() for g in tokens.Encoder(FILE).encode(texts[-3:])] == [t.encode(x, add_special_tokens=False).ids for x in texts[-3:]]
+
+
 # --- 9 ------------------------------------------------------------------------------------------
 
 
