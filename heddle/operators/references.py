@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from .skew import FAN, salt
+from .skew import salt
 
 # 32 hexadecimal digits on end, or in the 8-4-4-4-12 form, free of other letters and digits around.
 PLAIN = r"(?i)(?<![0-9A-Za-z])([0-9a-f]{32})(?![0-9A-Za-z])"
@@ -26,7 +26,7 @@ def document_key(c: Column | str) -> Column:
     return F.lower(F.coalesce(plain, dashed))
 
 
-def orphans(children: DataFrame, parents: DataFrame, fan: int = FAN) -> DataFrame:
+def orphans(children: DataFrame, parents: DataFrame, fan: int | None = None) -> DataFrame:
     """Rows of ``children`` (parent_table, key, at, …) for which no parent row with the key came by ``at``.
 
     ``parents`` has parent_table, key, at (null if the parent doesn't count). A null child key is

@@ -28,7 +28,7 @@ def row_type(description: Column, line_no: Column, quantity: Column, amount: Col
     )
 
 
-def flag_duplicates(rows: DataFrame, signature: list[Column], row_id: str, order: str, fan: int = 24) -> DataFrame:
+def flag_duplicates(rows: DataFrame, signature: list[Column], row_id: str, order: str, fan: int | None = None) -> DataFrame:
     """is_duplicate and duplicate_of (the first row of the signature); rows are flagged, never dropped.
 
     The first row of each signature is found by partial minima, so a signature of a third of all rows is no single task.

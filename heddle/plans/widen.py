@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.ladder import climb, fold
+from ..operators.skew import attach_by_key
 from ..session import cut
 
 # The invoice columns carried over, in order.
@@ -19,8 +20,8 @@ def invoice_index(lines: DataFrame, order: str) -> DataFrame:
     # Each text is normalised once, in a step of its own, before keys are made of it.
     n = lines.withColumns({"_own": T.normalise_text(own), "_key": T.normalise_text("invoice_key"), "_id": T.normalise_text("invoice_id"), "_xml": T.normalise_text("xml_file_name"), "_no": T.normalise_text("row_number"), "_sum": T.normalise_text("row_total_excl_vat")})
     x = n.where(~(T.blank_of(F.col("_own")) & T.blank_of(F.col("_xml")))).withColumns({"_row": T.line_of(F.col("_no")), "_dup": T.compact_of(F.col("_own")), "_art": T.lookup_key(F.coalesce("article_name", F.lit(""))), "_file": T.document_of(F.col("_xml"))})
-    first = Window.partitionBy("_dup", "_row", "_art").orderBy(order)
-    x = x.withColumn("_k", F.row_number().over(first)).where("_k = 1")
+    # Combined before the shuffle, so rows without any identifier, which share one key, are no hot group.
+    x = x.groupBy("_dup", "_row", "_art").agg(F.min_by(F.struct(*x.columns), order).alias("_f")).select("_f.*")
     keys = F.array_distinct(F.array_compact(F.array(*[F.when(~T.blank_of(F.col(c)), F.nullif(T.compact_of(F.col(c)), F.lit(""))) for c in ("_key", "_id")], F.nullif(F.col("_file"), F.lit("")))))
     x = x.select(*lines.columns, "_row", F.col("_row").rlike(r"^\d+$").alias("is_line"), T.amount_of(F.col("_sum")).alias("total"), keys.alias("_keys"))
     return x.withColumn("key", F.explode("_keys")).drop("_keys")
@@ -63,7 +64,8 @@ def widen_invoices(tx: DataFrame, invoices: DataFrame, row_id: str, order: str)
     keys = transaction_keys(tx, row_id)
     names = [("invoice-number", "_inv"), ("document-number", "_doc"), ("document-id", "_did")]
     rungs = [(f"{n} + line", F.col(k), F.col("_line")) for n, k in names] + [(n, F.col(k), None) for n, k in names]
-    got = climb(keys, row_id, rungs, _blocks(index)).join(document_summary(index), "key", "left")
+    blocks = attach_by_key(_blocks(index), document_summary(index), ["key"], ["line", "rung_kind"])
+    got = climb(keys, row_id, rungs, blocks)
     out = got.select(
         row_id,
         F.coalesce("rung_kind", F.lit("none")).alias("inv_match_level"),
@@ -88,13 +90,13 @@ def widen_orders(tx: DataFrame, row_id: str, order_no: Column, line: Column, hin
     found = None
     for name in sorted(systems):
         rows = systems[name].withColumnsRenamed({"order_key": "key", "line_key": "line"}).where("key <> ''")
-        header = fold(rows, ["key"], fields).withColumn("line", F.lit("")).withColumn("rung_kind", F.lit("header"))
+        header = fold(rows, ["key"], fields).withColumn("line", F.lit("")).withColumn("rung_kind", F.lit("header")).withColumn("lines_on_order", F.col("match_count"))
         exact = fold(rows.where("line <> ''"), ["key", "line"], fields).withColumn("rung_kind", F.lit("line"))
+        exact = attach_by_key(exact, header.select("key", "lines_on_order"), ["key"], ["line"])
         got = climb(keys, row_id, [("po-number + line", F.col("_order"), F.col("_line")), ("po-number", F.col("_order"), None)], exact.unionByName(header)).where("strategy IS NOT NULL")
         single = (F.col("strategy") == "po-number") & (F.col("match_count") == 1)
         rank = F.when(F.col("rung_kind") == "line", 0).when(single, 1).otherwise(2) - F.when(F.contains(F.lower("_hint"), F.lit(name)), 1).otherwise(0)
         got = got.withColumn("rank", rank).withColumn("strategy", F.when(single, "po-number, single-line order").otherwise(F.col("strategy"))).withColumn("system", F.lit(name))
-        got = got.join(header.select("key", F.col("match_count").alias("lines_on_order")), "key")
         found = got if found is None else found.unionByName(got)
     cols = ["system", "strategy", "match_count", "lines_on_order", *fields]
     best = found.groupBy(row_id).agg(F.min(F.struct("rank", *cols)).alias("b")).select(row_id, *[F.col(f"b.{c}").alias(f"po_{c}") for c in cols])
