@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.skew import FAN, salt
+from ..operators.skew import salt
 from ..session import table
 
 SPACE = r"[\p{Z}\t\n\x0b\f\r\x1c-\x1f\x85]+"
@@ -72,7 +72,7 @@ def _stack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["field_name", "terms", "cf", "df"])
 
 
-def term_counts(rows: DataFrame, longest: int = 1, fan: int = FAN) -> DataFrame:
+def term_counts(rows: DataFrame, longest: int = 1, fan: int | None = None) -> DataFrame:
     """(field_name, tokens) per record to (field_name, terms, occurrences, records) of every n-gram up to ``longest`` terms.
 
     Records with equal tokens are read once with their number as weight. Null or empty tokens
