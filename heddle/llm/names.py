@@ -5,8 +5,11 @@ company or the given name of a person; the legal form is taken off. Distinct for
 Within one leading name the frequent forms come first as candidate canonical forms, and every
 other form goes to the candidate of the greatest posterior: its frequency times the likelihood
 of the typo, abbreviation, short form or omission that would have made the one from the other.
-A rare leading name that is one typing error from a more frequent one visits the forms of that
-name too. Vendor numbers in common link forms as well. Only forms are ever compared, never records.
+A leading name is split by the first letter of the trade, which every abbreviation keeps; a
+rare trade or leading name that is one typing error from a more frequent one visits the forms
+of that one too. Forms that omit the trade see sums over the candidates of each legal form only.
+A vendor number in common links forms as well, however many carry it; numbers known to be
+collective accounts are given as such. Only forms are ever compared, never records.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..operators.skew import attach_by_key
+from ..operators.skew import attach_by_key, min_by_key, pairs_within
 from ..session import cut, parts, table
 
 # Legal forms and marks of sole traders, folded and without dots.
@@ -34,8 +37,6 @@ LEGAL = {
 # Forms that say the same.
 SAME_LEGAL = {"aktiebolag": "ab", "aktieb": "ab", "handelsbolag": "hb", "handelsb": "hb", "limited": "ltd", "spolka": "sp", "osakeyhtio": "oy", "kommandiittiyhtio": "ky", "cokg": "kg", "oyab": "oy", "abp": "oyj", "aktiengesellschaft": "ag"}
 SOLE = {"tmi", "sole", "trader", "toiminimi"}
-#: Vendor numbers carried by more different forms than this are looked into: one entity's, or a collective account's that proves nothing.
-COLLECTIVE = 20
 #: Likelihoods of the channel: one typing error, an abbreviation, a missing trade, an initial, a short form.
 TYPO, SHORT, OMIT, INITIAL, NICK = 0.02, 0.03, 0.02, 0.02, 0.1
 
@@ -148,40 +149,50 @@ def _read(given: dict[str, list[str]]):
 
 
 def deletions(c: str) -> F.Column:
-    """The word and the word without one letter, for words of 5 letters or more: words one error apart share one of these."""
+    """The word and the word without one letter: words one error apart share one of these.
+
+    A key is shared by the words that one more letter makes of it, so by a bounded number of distinct words.
+    """
     w = F.col(c)
     return F.array_distinct(F.concat(F.array(w), F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))))
 
 
+def _one_error(a: str, b: str) -> F.Column:
+    """One insertion, deletion, replacement or swap of neighbours apart, by built-in functions."""
+    swap = (F.length(a) == F.length(b)) & (F.levenshtein(a, b) == 2) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    return (F.levenshtein(a, b) <= 1) | swap
+
+
+def _likelihood(f: dict, c: dict) -> float:
+    """Likelihood that the form ``c`` was written as ``f``, given their leading name."""
+    if f["kind"] == "p":
+        a, b = set(f["given"]), set(c["given"])
+        if a and b:
+            return (1.0 if a == b else NICK) if a & b else 0.0
+        if f["initial"] and b:
+            return INITIAL if any(x.startswith(f["initial"]) for x in b) else 0.0
+        return 0.5 if not b and f["initial"] == c["initial"] else 0.0
+    return channel(f["trade"], c["trade"])
+
+
+def _best(canon: list[dict], f: dict, whole: bool) -> tuple[dict | None, float]:
+    """The candidate of the greatest posterior; with ``whole`` only if it has more than half of it."""
+    top, total, found = (0.0, 0), 0.0, None
+    for c in canon:
+        x = c["w"] * _likelihood(f, c)
+        total += x
+        if x > 0 and (x, -c["form_id"]) > top:
+            top, found = (x, -c["form_id"]), c
+    return (found, top[0]) if found and (not whole or top[0] / total > 0.5) else (None, 0.0)
+
+
 def _attach(own: list[dict], guests: list[dict]) -> Iterator[tuple[int, int, float, bool]]:
-    """Within one leading name: the forms of the name itself, and visitors whose name may be a typing error of it."""
+    """Within one group: its own forms, and visitors whose leading name or trade may be a typing error of it."""
     own = sorted(own, key=lambda f: (-f["n"], f["form_id"]))
     canon: list[dict] = []
-
-    def likelihood(f: dict, c: dict) -> float:
-        if f["kind"] == "p":
-            a, b = set(f["given"]), set(c["given"])
-            if a and b:
-                return (1.0 if a == b else NICK) if a & b else 0.0
-            if f["initial"] and b:
-                return INITIAL if any(x.startswith(f["initial"]) for x in b) else 0.0
-            return 0.5 if not b and f["initial"] == c["initial"] else 0.0
-        if not f["trade"] or not c["trade"]:
-            if f["trade"] == c["trade"]:
-                return 1.0
-            return OMIT * (3.0 if f["legal"] and f["legal"] == c["legal"] else 1.0 if not f["legal"] or not c["legal"] else 0.5)
-        return channel(f["trade"], c["trade"])
-
-    def best(f: dict, whole: bool) -> tuple[dict | None, float]:
-        scored = sorted(((c["w"] * x, -c["form_id"], i) for i, c in enumerate(canon) if (x := likelihood(f, c)) > 0), reverse=True)
-        if not scored:
-            return None, 0.0
-        top, total = scored[0][0], sum(s[0] for s in scored)
-        return (canon[scored[0][2]], top) if top / total > 0.5 or not whole else (None, 0.0)
-
-    vague = lambda f: (f["kind"] == "c" and not f["trade"]) or (f["kind"] == "p" and not f["given"])
+    vague = lambda f: f["kind"] == "p" and not f["given"]
     for f in [x for x in own if not vague(x)] + [x for x in own if vague(x)]:
-        c, _ = best(f, vague(f))
+        c, _ = _best(canon, f, vague(f))
         if c is None:
             canon.append({**f, "w": float(f["n"])})
             yield f["form_id"], f["form_id"], 1.0, False
@@ -191,13 +202,13 @@ def _attach(own: list[dict], guests: list[dict]) -> Iterator[tuple[int, int, flo
                 c["given"] = sorted(set(c["given"]) & set(f["given"])) or c["given"]
             yield f["form_id"], c["form_id"], 1.0, False
     for f in guests:
-        c, score = best(f, True)
+        c, score = _best(canon, f, True)
         if c is not None and not (vague(f) and len(canon) > 1):
             yield f["form_id"], c["form_id"], score * TYPO, True
 
 
 def _attach_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of rows sorted by (kind, host); only the distinct forms of one leading name are held at a time."""
+    """Groups of rows sorted by (kind, host, letter); only the distinct forms of one group are held at a time."""
     key, own, guests, out = None, [], [], []
 
     def emit(rows: list[tuple]) -> pa.RecordBatch:
@@ -206,9 +217,9 @@ def _attach_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         for f in b.to_pylist():
-            if (f["kind"], f["host"]) != key:
+            if (f["kind"], f["host"], f["letter"]) != key:
                 out += _attach(own, guests)
-                key, own, guests = (f["kind"], f["host"]), [], []
+                key, own, guests = (f["kind"], f["host"], f["letter"]), [], []
             (guests if f["visitor"] else own).append(f)
         if len(out) > 10_000:
             yield emit(out)
@@ -216,12 +227,45 @@ def _attach_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield emit(out + list(_attach(own, guests)))
 
 
-def entities(suppliers: DataFrame, given_names: DataFrame) -> DataFrame:
+def _omitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Forms without a trade, by posterior over the companies of their leading name, which come as sums per legal form.
+
+    A form whose own leading name has no company to take it stands for itself, and later ones without a trade join it.
+    """
+    out: list[tuple[int, int, float, bool]] = []
+    for b in batches:
+        for g in b.to_pylist():
+            hosts = [{"id": h["id"], "legal": h["legal"], "top": h["top"], "sum": h["sum"], "count": h["count"], "same": False} for h in g["hosts"] or []]
+            for f in sorted(g["forms"], key=lambda f: (f["visitor"], -f["n"], f["form_id"])):
+                known = sum(h["count"] for h in hosts)
+                scored, total = [], 0.0
+                for h in hosts:
+                    like = 1.0 if h["same"] else OMIT * (3.0 if f["legal"] and f["legal"] == h["legal"] else 1.0 if not f["legal"] or not h["legal"] else 0.5)
+                    scored.append((h["top"] * like, -h["id"], h))
+                    total += h["sum"] * like
+                top = max(scored, key=lambda x: x[:2], default=None)
+                if top and top[0] / total > 0.5:
+                    if f["visitor"]:
+                        if known == 1:
+                            out.append((f["form_id"], top[2]["id"], top[0] * TYPO, True))
+                        continue
+                    top[2]["top"] += f["n"]
+                    top[2]["sum"] += f["n"]
+                    out.append((f["form_id"], top[2]["id"], 1.0, False))
+                elif not f["visitor"]:
+                    hosts.append({"id": f["form_id"], "legal": f["legal"], "top": float(f["n"]), "sum": float(f["n"]), "count": 1, "same": True})
+                    out.append((f["form_id"], f["form_id"], 1.0, False))
+    cols = list(zip(*out)) if out else [(), (), (), ()]
+    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.bool_())], ["form_id", "to_id", "score", "visitor"])
+
+
+def entities(suppliers: DataFrame, given_names: DataFrame, collective: DataFrame | None = None) -> DataFrame:
     """(supplier_row, display_name, raw_names, identifier) to (supplier_row, entity): the least record of the same entity.
 
     Records without any letters or digits in their names are left out; null names, null arrays and
     repeated rows are fine; other columns are dropped. ``given_names`` is a small fixed table
-    (given_name, short_form), read on the driver up to 10,000 rows and refused beyond.
+    (given_name, short_form), read on the driver up to 10,000 rows and refused beyond. A vendor number
+    names one entity, whatever the spellings under it, unless ``collective`` (identifier) lists it.
     """
     rows = given_names.limit(10_001).collect()
     if len(rows) > 10_000:
@@ -262,48 +306,56 @@ def entities(suppliers: DataFrame, given_names: DataFrame) -> DataFrame:
     form_cols = ["kind", "stem", "trade", "given", "initial", "legal"]
     forms = cut(spelled.groupBy(*form_cols).agg(F.min("supplier_row").alias("form_id"), F.count(F.lit(1)).alias("n")))
 
-    # Leading names one error from a more frequent one.
+    # Leading names, and trades of one leading name, that are one error from a more frequent one.
+    rarer = "y.df >= 5 * x.df OR (x.df <= 2 AND (y.df > x.df OR (y.df = x.df AND y.{0} < x.{0})))"
     stems = forms.groupBy("kind", "stem").agg(F.sum("n").alias("df"))
     keys = stems.where(F.length("stem") >= 5).select("kind", "stem", "df", F.explode(deletions("stem")).alias("key"))
-    visits = (
-        keys.alias("x").join(keys.alias("y"), ["kind", "key"]).where("x.stem <> y.stem AND (y.df >= 5 * x.df OR (x.df <= 2 AND (y.df > x.df OR (y.df = x.df AND y.stem < x.stem))))")
-        .select("kind", F.col("x.stem").alias("stem"), F.col("y.stem").alias("host")).distinct()
-    )
-    slim = forms.select("form_id", "n", *form_cols)
+    visits = keys.alias("x").join(keys.alias("y"), ["kind", "key"]).where(f"x.stem <> y.stem AND ({rarer.format('stem')})").select("kind", F.col("x.stem").alias("stem"), F.col("y.stem").alias("host")).distinct()
+    trades = forms.where("trade <> ''").groupBy("stem", "trade").agg(F.sum("n").alias("df"))
+    begun = trades.where(F.length("trade") >= 4).select("stem", "trade", "df", F.explode(deletions("trade")).alias("key"))
+    moves = begun.alias("x").join(begun.alias("y"), ["stem", "key"]).where(f"left(x.trade, 1) <> left(y.trade, 1) AND ({rarer.format('trade')})").select("stem", F.col("x.trade").alias("trade"), F.left(F.col("y.trade"), F.lit(1)).alias("letter")).distinct()
+    slim = forms.select("form_id", "n", *form_cols).withColumn("letter", F.left("trade", F.lit(1)))
     members = slim.withColumn("host", F.col("stem")).withColumn("visitor", F.lit(False))
     guests = slim.join(visits, ["kind", "stem"]).withColumn("visitor", F.lit(True)).where(_one_error("stem", "host"))
-    hosted = members.unionByName(guests).repartition(parts(suppliers.sparkSession), "kind", "host").sortWithinPartitions("kind", "host")
-    linked = cut(hosted.mapInArrow(_attach_all, "form_id bigint, to_id bigint, score double, visitor boolean"))
+    movers = slim.drop("letter").join(moves, ["stem", "trade"]).withColumn("host", F.col("stem")).withColumn("visitor", F.lit(True))
+    hosted = cut(members.unionByName(guests).unionByName(movers))
+    whole = "kind = 'p' OR trade <> ''"
+    grouped = hosted.where(whole).repartition(parts(suppliers.sparkSession), "kind", "host", "letter").sortWithinPartitions("kind", "host", "letter")
+    schema = "form_id bigint, to_id bigint, score double, visitor boolean"
+    linked = cut(grouped.mapInArrow(_attach_all, schema))
+    # Companies by leading name and legal form, for the forms that name no trade; these differ in nothing but the legal form.
+    firms = slim.where("kind = 'c'")
+    target = firms.select(F.col("form_id").alias("to_id"), F.col("stem").alias("host"), "legal")
+    # One whose trade is mistyped in its first letter is no company beside the one it moved to.
+    moved = linked.where("visitor").join(firms.select("form_id", "stem"), "form_id").join(target, "to_id").where("stem = host").groupBy("form_id").agg(F.max_by("to_id", F.struct("score", -F.col("to_id"))).alias("m"))
+    companies = linked.where("NOT visitor").join(firms.select("form_id", "n"), "form_id").join(moved.withColumnRenamed("form_id", "to_id"), "to_id", "left")
+    companies = companies.groupBy(F.coalesce("m", "to_id").alias("to_id")).agg(F.sum("n").cast("double").alias("w")).join(target, "to_id")
+    sums = companies.groupBy("host", "legal").agg(F.max_by("to_id", F.struct("w", -F.col("to_id"))).alias("id"), F.max("w").alias("top"), F.sum("w").alias("sum"), F.count(F.lit(1)).alias("count"))
+    vague = hosted.where(f"NOT ({whole})").groupBy("host").agg(F.collect_list(F.struct("form_id", "n", "legal", "visitor")).alias("forms"))
+    hosts = sums.join(vague.select("host"), "host", "left_semi").groupBy("host").agg(F.collect_list(F.struct("id", "legal", "top", "sum", "count")).alias("hosts"))
+    linked = cut(linked.unionByName(vague.join(hosts, "host", "left").select("forms", "hosts").mapInArrow(_omitted, schema)))
     chosen = linked.where("visitor").groupBy("form_id").agg(F.max_by("to_id", F.struct("score", -F.col("to_id"))).alias("to_id"))
     edges = linked.where("NOT visitor").select("form_id", "to_id").unionByName(chosen)
 
     record_form = attach_by_key(spelled, forms.select(*form_cols, "form_id"), form_cols, ["supplier_row"]).select("supplier_row", "identifier", "form_id")
     numbers = record_form.where("identifier IS NOT NULL").select("identifier", "form_id").distinct()
-    common = numbers.groupBy("identifier").agg(F.min("form_id").alias("to_id"), F.count(F.lit(1)).alias("k")).where("k >= 2")
-    many = cut(common.where(f"k > {COLLECTIVE}").select("identifier"))
-    if not many.isEmpty():
-        # One entity's number has most of its records in one class of names; a collective account's are spread over many.
-        kind = components(edges, "form_id", "to_id").withColumnRenamed("node", "form_id")
-        carried = record_form.join(many, "identifier").groupBy("identifier", "form_id").agg(F.count(F.lit(1)).alias("n")).join(kind, "form_id", "left")
-        held = carried.groupBy("identifier", F.coalesce("component", "form_id").alias("c")).agg(F.sum("n").alias("n")).groupBy("identifier").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-        common = common.join(held.where("2 * most <= all").select("identifier"), "identifier", "left_anti")
-    edges = edges.unionByName(numbers.join(common, "identifier").select("form_id", "to_id"))
-    comp = components(edges, "form_id", "to_id")
-    classed = record_form.join(comp.withColumnRenamed("node", "form_id"), "form_id", "left").withColumn("c", F.coalesce("component", "form_id"))
-    return classed.select("supplier_row", F.col("c").alias("entity"))
+    if collective is not None:
+        numbers = numbers.join(collective.select("identifier").distinct(), "identifier", "left_anti")
+    numbered = min_by_key(numbers, ["identifier"], "form_id", "to_id", ["form_id"]).where("form_id <> to_id")
+    comp = components(edges.unionByName(numbered.select("form_id", "to_id")), "form_id", "to_id")
+    classed = attach_by_key(record_form, comp.withColumnRenamed("node", "form_id"), ["form_id"], ["supplier_row"], how="left")
+    return classed.select("supplier_row", F.coalesce("component", "form_id").alias("entity"))
 
 
-def _one_error(a: str, b: str) -> F.Column:
-    """One insertion, deletion, replacement or swap of neighbours apart, by built-in functions."""
-    swap = (F.length(a) == F.length(b)) & (F.levenshtein(a, b) == 2) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
-    return (F.levenshtein(a, b) <= 1) | swap
+def supplier_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record with its entity and the number of other records it is linked with."""
+    e = cut(_entities(spark, sf_dir))
+    return attach_by_key(e, e.groupBy("entity").agg((F.count(F.lit(1)) - 1).alias("links")), ["entity"], ["supplier_row"])
 
 
-def supplier_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities(table(spark, sf_dir, "supplier_names"), table(spark, sf_dir, "given_name_forms"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = cut(supplier_entities(spark, sf_dir))
-    a, b = e.withColumnRenamed("supplier_row", "supplier_row_a"), e.withColumnRenamed("supplier_row", "supplier_row_b")
-    return a.join(b, "entity").where("supplier_row_a < supplier_row_b").select("supplier_row_a", "supplier_row_b")
+    return pairs_within(cut(_entities(spark, sf_dir)), "entity", "supplier_row", "supplier_row_a", "supplier_row_b")

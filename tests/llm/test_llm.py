@@ -88,6 +88,24 @@ def test_companies_and_persons(spark):
     assert _entities(spark, p) == [[0, 1, 2, 3, 15], [4], [5, 6, 7], [8], [9, 10, 11]]
 
 
+@pytest.mark.parametrize("k", [20, 21, 200])
+def test_a_vendor_number_links_all_its_forms(spark, k):
+    """However many spellings stand under one number they are one entity, unless it is given as a collective account."""
+    code = lambda i: "".join(chr(97 + i // 26**p % 26) for p in range(3))
+    people = [(f"{code(7 * i)}bakro{code(11 * i)} {code(5 * i)}työ{code(3 * i)} Oy", "V1") for i in range(k)]
+    assert _entities(spark, people) == [list(range(k))]
+    rows = [(i, n, [n], v) for i, (n, v) in enumerate(people)]
+    df = spark.createDataFrame(rows, "supplier_row bigint, display_name string, raw_names array<string>, identifier string")
+    got = names.entities(df, spark.createDataFrame(GIVEN, "given_name string, short_form string"), spark.createDataFrame([("V1",)], "identifier string")).collect()
+    assert len({r["entity"] for r in got}) > k * 0.9
+
+
+def test_first_letter_of_a_trade(spark):
+    """A trade is looked up by its first letter, but one mistyped there is still found; an omitted trade goes to the only company."""
+    p = [("Bakroneto Putkityö Oy", None)] * 5 + [("Bakroneto Kutkityö Oy", None), ("Bakroneto Oy", None), ("Bakronetto", None)] + [("Lestinifo Kuljetus", None), ("Lestinifo Rakennus", None), ("Lestinifo", None)]
+    assert _entities(spark, p) == [[0, 1, 2, 3, 4, 5, 6, 7], [8], [9], [10]]
+
+
 def test_no_names(spark):
     assert _entities(spark, [(None, None)]) == []
 
