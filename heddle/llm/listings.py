@@ -1,35 +1,45 @@
 """Product listings describing the same item (problem 6), by title combination voting.
 
-A title becomes tokens: sizes, ratings and quantities in base units, and words. Words that
-stand alike in a title and in its translation are names; the share in which a word does so is
-learnt from all listings that have both. For each title, combinations of a likely name with all
-its attributes, and with all but one, are generated and counted over all titles; a combination's
-score grows with its frequency and length and falls with the average position of its tokens. Each
-title goes to its best combination. Verification parts a cluster by name and full attribute set;
-parts that agree are merged, and a title whose attributes lack one goes to the only product that has it.
+A title becomes tokens: sizes, ratings and quantities in base units, and words. Equal token sets
+are folded and vote together with their number. Of each title the k-combinations of its words
+are generated (k up to 3, or as many as keep within ``COMBINATIONS``; all words take part), each
+joined with all that is measured of the title, since a combination without one of these can't
+tell two products apart. A combination's score grows with the number of titles that hold it, with
+more than one seller listing it, and with its length, and falls with the average position of its
+words; a word counts by how much it is a name, that is, stands alike in titles and their
+translations. Each title is assigned its best combination, which forms the clusters. Verification
+parts a cluster by what was measured; clusters whose combinations have the same name and measures
+are merged, and one that lacks a measure goes to the only product that has it.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.skew import attach_by_key
-from ..session import cut, table
+from ..operators.graph import components
+from ..operators.skew import attach_by_key, min_by_key, pairs_within
+from ..session import cut, parts, table
 from .attributes import read_title
 from .garbled import mend
 
-#: Likely names that take part in a title's combinations; the name is the best of them.
-NAMES = 3
+#: Combinations a title may have before k is lowered; with k = 1 there are as many as words.
+COMBINATIONS = 200
+#: A word's part in the length of a combination is ten to the power of this times its likeness to a name, so kinds of article, which many brands share, don't outvote a name by being frequent.
+STEEP = 4
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
-        for row, text, other, lang in zip(b["item_row"], b["description"], b["english_description"], b["language"]):
+        for row, text, other, lang, seller in zip(b["item_row"], b["description"], b["english_description"], b["language"], b["supplier"]):
             one, two = ((mend(t)[1] if not t.isascii() else t) if isinstance(t, str) else "" for t in (text, other))
             attrs, words = read_title(one)
             more, said = read_title(two)
@@ -38,63 +48,87 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = list(dict.fromkeys(words))
             both = isinstance(lang, str) and lang.lower()[:2] in ("fi", "sv", "de", "pl", "no") and bool(said) and one != two
             said = list(dict.fromkeys(said))
-            seen = words if words else said
-            if seen or attrs:
-                out.append((row, sorted(attrs), seen, said if both else [], both))
-        yield pd.DataFrame(out, columns=["item_row", "attrs", "words", "said", "both"])
+            plain = " ".join(sorted(set(re.findall(r"[^\W_]+", (one if re.search(r"[^\W_]", one) else two).lower()))))
+            if plain:
+                out.append((row, sorted(attrs), words if words else said, said if both else [], both, plain, seller if isinstance(seller, str) and seller.strip() else None))
+        yield pd.DataFrame(out, columns=["item_row", "attrs", "words", "said", "both", "plain", "seller"])
+
+
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The word combinations of each folded title: number of the title, the combination's words, weight of its words, place, its name."""
+    for b in batches:
+        ids, combos, lens, places, names = [], [], [], [], []
+        for r in b.to_pylist():
+            ws = sorted(r["ws"], key=lambda w: w["at"])
+            n, k = len(ws), 1
+            while k < min(3, n) and sum(comb(n, j) for j in range(1, k + 2)) <= COMBINATIONS:
+                k += 1
+            for j in range(1, k + 1):
+                for c in combinations(ws, j):
+                    top = max(c, key=lambda w: (w["value"], w["w"]))
+                    ids.append(r["title"])
+                    combos.append(" ".join(sorted(w["w"] for w in c)))
+                    lens.append(sum(10 ** (STEEP * w["value"]) for w in c))
+                    places.append(sum(w["at"] for w in c) / j)
+                    names.append(top["w"])
+                    if len(ids) >= 50_000:
+                        yield _batch(ids, combos, lens, places, names)
+                        ids, combos, lens, places, names = [], [], [], [], []
+        yield _batch(ids, combos, lens, places, names)
+
+
+def _batch(ids: list, combos: list, lens: list, places: list, names: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(combos, pa.string()), pa.array(lens, pa.float64()), pa.array(places, pa.float64()), pa.array(names, pa.string())], ["title", "combo", "len", "at", "name"])
 
 
 def products(items: DataFrame) -> DataFrame:
-    """(item_row, description, english_description, language) to (item_row, product): the least row of the same product.
+    """(item_row, description, english_description, language, supplier) to (item_row, product): the least row of the same product.
 
-    A listing without any attribute or name is a product of its own; one without any word or number
-    is left out, as are null and empty titles without a translation; extra columns are dropped.
+    A listing without a measured attribute or without a word belongs with those of the same words
+    and numbers only, so literally equal titles are always of one product; one without any letter or
+    digit is left out, as are null and empty titles without a translation; extra columns are dropped.
     """
-    t = cut(items.select("item_row", "description", "english_description", "language").mapInPandas(_read, "item_row bigint, attrs array<string>, words array<string>, said array<string>, both boolean"))
+    t = cut(items.select("item_row", "description", "english_description", "language", "supplier").mapInPandas(_read, "item_row bigint, attrs array<string>, words array<string>, said array<string>, both boolean, plain string, seller string"))
 
     # How often a word stands alike in the title and in its translation.
-    here = t.where("both").select(F.explode("words").alias("w"), F.lit(1).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c"))
-    there = t.where("both").select(F.explode("said").alias("w"), F.lit(0).alias("a"), F.lit(1).alias("b"), F.lit(0).alias("c"))
-    alike = t.where("both").select(F.explode(F.array_intersect("words", "said")).alias("w"), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(1).alias("c"))
-    shares = here.unionByName(there).unionByName(alike).groupBy("w").agg(((2 * F.sum("c") + 0.5) / (F.sum("a") + F.sum("b") + 1)).alias("alike"))
-    each = t.select("item_row", F.posexplode("words").alias("at", "w"))
-    counts = each.groupBy("w").agg(F.count(F.lit(1)).alias("df")).join(shares, "w", "left").select("w", "df", F.coalesce("alike", F.lit(0.5)).alias("alike"))
+    sides = t.where("both").select(F.explode(F.transform(F.array_union("words", "said"), lambda w: F.struct(w.alias("w"), F.array_contains("words", w).cast("int").alias("a"), F.array_contains("said", w).cast("int").alias("b")))).alias("x")).select("x.*")
+    shares = sides.groupBy("w").agg(((2 * F.sum(F.col("a") * F.col("b")) + 0.5) / (F.sum("a") + F.sum("b") + 1)).alias("alike"))
+    voting = t.where((F.size("attrs") > 0) & (F.size("words") > 0))
+    titles = cut(voting.groupBy("attrs", "words").agg(F.min("item_row").alias("title"), F.count(F.lit(1)).alias("n"), F.min("seller").alias("one"), F.max("seller").alias("two")))
+    each = titles.select("title", "n", F.posexplode("words").alias("at", "w"))
+    counts = each.groupBy("w").agg(F.sum("n").alias("df")).join(shares, "w", "left").select("w", "df", F.coalesce("alike", F.lit(0.5)).alias("alike"))
     value = F.col("alike") + F.when(F.length("w") >= 5, 1.0).otherwise(0.0) + 0.005 * F.least(F.length("w"), F.lit(10)) - 0.002 * F.log("df")
-    weighed = attach_by_key(each, counts, ["w"], ["item_row", "at"]).withColumn("value", value)
-    names = weighed.groupBy("item_row").agg(F.slice(F.sort_array(F.collect_list(F.struct("value", (-F.col("at")).alias("at"), "w")), asc=False), 1, NAMES).alias("names"))
-
-    titles = t.select("item_row", "attrs").join(names, "item_row", "left")
-    # All attributes, and all but one, with each likely name.
-    sets = F.concat(F.array("attrs"), F.when(F.size("attrs") >= 3, F.transform("attrs", lambda a: F.array_except("attrs", F.array(a)))).otherwise(F.array().cast("array<array<string>>")))
-    combos = (
-        titles.where(F.col("names").isNotNull() & (F.size("attrs") > 0))
-        .select("item_row", "attrs", F.explode("names").alias("n"), sets.alias("sets"))
-        .select("item_row", "attrs", F.col("n.w").alias("name"), F.col("n.value").alias("value"), (-F.col("n.at")).alias("at"), F.explode("sets").alias("part"))
-    )
-    tally = combos.groupBy("name", "part").agg(F.count(F.lit(1)).alias("freq"), F.avg("at").alias("avg_at"))
-    k = F.size("part") + 1
-    score = F.col("value") * k * k * F.log2(1 + F.col("freq")) / (10 + F.col("avg_at"))
-    voted = attach_by_key(combos, tally, ["name", "part"], ["item_row"]).groupBy("item_row", "attrs").agg(F.max_by(F.struct("name", "part"), F.struct((F.floor(F.col("value") * 4)), score, "value", "name", "part")).alias("best"))
-    verified = cut(voted.select("item_row", "attrs", F.col("best.name").alias("name")))
-
-    full = verified.groupBy("name", "attrs").agg(F.min("item_row").alias("product"), F.count(F.lit(1)).alias("n"))
-    # The only product that has one attribute more than a lone title.
+    weighed = attach_by_key(each, counts, ["w"], ["title", "at"]).withColumn("value", value)
+    rows = weighed.groupBy("title").agg(F.collect_list(F.struct("at", "w", "value")).alias("ws")).repartition(parts(items.sparkSession), "title")
+    combos = rows.select("title", "ws").mapInArrow(_combine, "title bigint, combo string, len double, at double, name string")
+    combos = combos.join(titles.select("title", "attrs", "n", "one", "two"), "title").withColumn("key", F.xxhash64("combo", "attrs")).drop("combo", "attrs")
+    # The key serves the vote only; clusters are told apart by name and measures themselves.
+    combos = cut(combos)
+    tally = combos.groupBy("key").agg(F.sum("n").alias("freq"), (F.sum(F.col("at") * F.col("n")) / F.sum("n")).alias("avg_at"), (F.min("one") < F.max("two")).alias("sellers"))
+    score = F.col("len") * F.log2(1 + F.col("freq")) * F.when(F.col("sellers"), 1.2).otherwise(1.0) / (10 + F.col("avg_at"))
+    best = attach_by_key(combos, tally, ["key"], ["title"]).groupBy("title").agg(F.max_by("name", F.struct(score, "name", "key")).alias("name"))
+    voted = cut(titles.join(best, "title").select("title", "attrs", "words", "n", "name"))
+
+    full = voted.groupBy("name", "attrs").agg(F.min("title").alias("product"), F.sum("n").alias("n"))
+    # The only product that has one measure more than a cluster.
     larger = full.where("n >= 2").select("name", "product", F.explode(F.transform("attrs", lambda a: F.array_except("attrs", F.array(a)))).alias("attrs"))
     wider = larger.groupBy("name", "attrs").agg(F.min("product").alias("host"), F.count(F.lit(1)).alias("hosts")).where("hosts = 1")
-    final = full.join(wider, ["name", "attrs"], "left").select("name", "attrs", F.when((F.col("n") == 1) & F.col("host").isNotNull(), F.least("host", "product")).otherwise(F.col("product")).alias("p"), F.col("host"), "n", "product")
-    # A lone title with a smaller row than its product becomes the product's row.
-    moved = final.where((F.col("n") == 1) & F.col("host").isNotNull()).groupBy(F.col("host").alias("product")).agg(F.min("p").alias("q"))
-    settled = final.withColumn("product", F.when((F.col("n") == 1) & F.col("host").isNotNull(), F.col("host")).otherwise(F.col("product"))).join(moved, "product", "left").select("name", "attrs", F.least("product", F.coalesce("q", "product")).alias("product"))
-    grouped = attach_by_key(verified, settled, ["name", "attrs"], ["item_row"]).select("item_row", "product")
-    alone = t.join(verified, "item_row", "left_anti").select("item_row", F.col("item_row").alias("product"))
-    return grouped.unionByName(alone)
+    # One that lacks two measures may go to one that lacks one, so the merges are followed to their end.
+    merged = full.join(wider, ["name", "attrs"]).select("product", "host")
+    ends = components(merged, "product", "host").select(F.col("node").alias("product"), "component")
+    settled = full.join(ends, "product", "left").select("name", "attrs", F.coalesce("component", "product").alias("product"))
+    of_title = attach_by_key(voted, settled, ["name", "attrs"], ["title"]).select("attrs", "words", "product")
+    grouped = attach_by_key(voting.select("item_row", "attrs", "words"), of_title, ["attrs", "words"], ["item_row"]).select("item_row", "product")
+    rest = min_by_key(t.where((F.size("attrs") == 0) | (F.size("words") == 0)).select("item_row", "plain"), ["plain"], "item_row", "product", ["item_row"]).select("item_row", "product")
+    return grouped.unionByName(rest)
 
 
 def listing_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products(table(spark, sf_dir, "reference_items"))
+    """Each listing with its product and the number of other listings it is linked with."""
+    e = cut(products(table(spark, sf_dir, "reference_items")))
+    return attach_by_key(e, e.groupBy("product").agg((F.count(F.lit(1)) - 1).alias("links")), ["product"], ["item_row"])
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = cut(listing_products(spark, sf_dir))
-    a, b = e.withColumnRenamed("item_row", "item_row_a"), e.withColumnRenamed("item_row", "item_row_b")
-    return a.join(b, "product").where("item_row_a < item_row_b").select("item_row_a", "item_row_b")
+    e = cut(products(table(spark, sf_dir, "reference_items")))
+    return pairs_within(e, "product", "item_row", "item_row_a", "item_row_b")

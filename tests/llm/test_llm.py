@@ -162,10 +162,14 @@ def test_listings(spark):
     rows = [
         (1, "Zazabrano hydraulic hose 8 m 20 mm PN 100", None, "en"), (2, "ZAZABRANO hydrauliikkaletku, L=8 m, 2 cm, 100 bar - UUTUUS", "hydraulic hose Zazabrano 8m 20mm PN100", "fi"), (3, "Zazabrano letku 4 m 20 mm PN 100", "Zazabrano hose 4 m 20 mm PN 100", "fi"),
         (4, "Muvuteki letku 8 m 20 mm PN 100", "hydraulic hose Muvuteki; 8 m; 20 mm; PN100", "fi"), (5, None, None, None), (6, "", "", "fi"), (7, "words only", None, "en"), (8, "words only", None, "en"), (9, LONG, None, "en"),
+        (10, "words  ONLY", None, None), (11, "only other words", None, "en"), (12, "4711", None, "en"), (13, "4711", "", None), (14, " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}x" for i in range(600)) + " 8 m", None, "en"), (15, "...", None, None),
+        (16, "Zazabrano hydraulic hose 8 m 20 mm", None, "en"), (17, "Zazabrano hydraulic hose 8 m 20 mm", None, "en"), (18, "Zazabrano hose 8 m", None, None),
     ]
-    df = spark.createDataFrame(rows, "item_row bigint, description string, english_description string, language string").withColumn("w", F.lit(1)).withColumn("product", F.lit(2))
+    df = spark.createDataFrame([(*r, None if r[0] % 2 else "Seller") for r in rows], "item_row bigint, description string, english_description string, language string, supplier string").withColumn("w", F.lit(1)).withColumn("product", F.lit(2)).withColumn("key", F.lit(2))
     got = {r["item_row"]: r["product"] for r in listings.products(df).collect()}
-    assert got[1] == got[2] == 1 and got[3] == 3 and got[4] == 4 and 5 not in got and got[7] == 7 and got[9] == 9
+    assert got[1] == got[2] == 1 and got[3] == 3 and got[4] == 4 and 5 not in got and 6 not in got and 15 not in got and got[9] == 9
+    assert got[7] == got[8] == got[10] == 7 and got[11] == 11 and got[12] == got[13] == 12 and got[14] == 14
+    assert got[16] == got[17] == got[18] == 1  # lacking one measure and, through these, two
     assert listings.products(df.limit(0)).count() == 0
 
 
