@@ -55,9 +55,15 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The word combinations of each folded title: number of the title, the combination's words, weight of its words, place, its name."""
+    """The word combinations of each folded title, with the length, the average place (in sixths) and the name of each."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.float32(), pa.int32(), pa.string())
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        cols = zip(*rows) if rows else ((),) * 7
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["title", "n", "seller", "combo", "len", "at", "name"])
+
     for b in batches:
-        ids, combos, lens, places, names = [], [], [], [], []
+        out: list[tuple] = []
         for r in b.to_pylist():
             ws = sorted(r["ws"], key=lambda w: w["at"])
             n, k = len(ws), 1
@@ -66,19 +72,12 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for j in range(1, k + 1):
                 for c in combinations(ws, j):
                     top = max(c, key=lambda w: (w["value"], w["w"]))
-                    ids.append(r["title"])
-                    combos.append(" ".join(sorted(w["w"] for w in c)))
-                    lens.append(sum(10 ** (STEEP * w["value"]) for w in c))
-                    places.append(sum(w["at"] for w in c) / j)
-                    names.append(top["w"])
-                    if len(ids) >= 50_000:
-                        yield _batch(ids, combos, lens, places, names)
-                        ids, combos, lens, places, names = [], [], [], [], []
-        yield _batch(ids, combos, lens, places, names)
-
-
-def _batch(ids: list, combos: list, lens: list, places: list, names: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(combos, pa.string()), pa.array(lens, pa.float64()), pa.array(places, pa.float64()), pa.array(names, pa.string())], ["title", "combo", "len", "at", "name"])
+                    said = " ".join([*sorted(w["w"] for w in c), r["measured"]])
+                    out.append((r["title"], r["n"], r["seller"], said, sum(10 ** (STEEP * w["value"]) for w in c), sum(w["at"] for w in c) * 6 // j, top["w"]))
+                    if len(out) >= 50_000:
+                        yield batch(out)
+                        out = []
+        yield batch(out)
 
 
 def products(items: DataFrame) -> DataFrame:
@@ -94,18 +93,19 @@ def products(items: DataFrame) -> DataFrame:
     sides = t.where("both").select(F.explode(F.transform(F.array_union("words", "said"), lambda w: F.struct(w.alias("w"), F.array_contains("words", w).cast("int").alias("a"), F.array_contains("said", w).cast("int").alias("b")))).alias("x")).select("x.*")
     shares = sides.groupBy("w").agg(((2 * F.sum(F.col("a") * F.col("b")) + 0.5) / (F.sum("a") + F.sum("b") + 1)).alias("alike"))
     voting = t.where((F.size("attrs") > 0) & (F.size("words") > 0))
-    titles = cut(voting.groupBy("attrs", "words").agg(F.min("item_row").alias("title"), F.count(F.lit(1)).alias("n"), F.min("seller").alias("one"), F.max("seller").alias("two")))
+    titles = cut(voting.groupBy("attrs", "words").agg(F.min("item_row").alias("title"), F.count(F.lit(1)).alias("n"), F.when(F.min("seller") < F.max("seller"), -1).otherwise(F.when(F.min("seller").isNotNull(), F.hash(F.min("seller"))).bitwiseAND(0x7FFFFFFF)).alias("seller")))
     each = titles.select("title", "n", F.posexplode("words").alias("at", "w"))
     counts = each.groupBy("w").agg(F.sum("n").alias("df")).join(shares, "w", "left").select("w", "df", F.coalesce("alike", F.lit(0.5)).alias("alike"))
     value = F.col("alike") + F.when(F.length("w") >= 5, 1.0).otherwise(0.0) + 0.005 * F.least(F.length("w"), F.lit(10)) - 0.002 * F.log("df")
     weighed = attach_by_key(each, counts, ["w"], ["title", "at"]).withColumn("value", value)
-    rows = weighed.groupBy("title").agg(F.collect_list(F.struct("at", "w", "value")).alias("ws")).repartition(parts(items.sparkSession), "title")
-    combos = rows.select("title", "ws").mapInArrow(_combine, "title bigint, combo string, len double, at double, name string")
-    combos = combos.join(titles.select("title", "attrs", "n", "one", "two"), "title").withColumn("key", F.xxhash64("combo", "attrs")).drop("combo", "attrs")
+    rows = weighed.groupBy("title").agg(F.collect_list(F.struct("at", "w", "value")).alias("ws")).join(titles.select("title", "n", "seller", F.array_join("attrs", ";").alias("measured")), "title")
+    rows = rows.repartition(parts(items.sparkSession), "title")
+    combos = rows.select("title", "n", "seller", "measured", "ws").mapInArrow(_combine, "title bigint, n bigint, seller int, combo string, len float, at int, name string")
     # The key serves the vote only; clusters are told apart by name and measures themselves.
-    combos = cut(combos)
-    tally = combos.groupBy("key").agg(F.sum("n").alias("freq"), (F.sum(F.col("at") * F.col("n")) / F.sum("n")).alias("avg_at"), (F.min("one") < F.max("two")).alias("sellers"))
-    score = F.col("len") * F.log2(1 + F.col("freq")) * F.when(F.col("sellers"), 1.2).otherwise(1.0) / (10 + F.col("avg_at"))
+    combos = cut(combos.withColumn("key", F.xxhash64("combo")).drop("combo"))
+    several = F.coalesce((F.min("seller") < F.max("seller")) | (F.min("seller") < 0), F.lit(False))
+    tally = combos.groupBy("key").agg(F.sum("n").alias("freq"), (F.sum(F.col("at") * F.col("n")) / F.sum("n") / 6).alias("avg_at"), several.alias("several"))
+    score = F.col("len") * F.log2(1 + F.col("freq")) * F.when(F.col("several"), 1.2).otherwise(1.0) / (10 + F.col("avg_at"))
     best = attach_by_key(combos, tally, ["key"], ["title"]).groupBy("title").agg(F.max_by("name", F.struct(score, "name", "key")).alias("name"))
     voted = cut(titles.join(best, "title").select("title", "attrs", "words", "n", "name"))
 
