@@ -245,8 +245,9 @@ def named_language(label: Column) -> Column:
 def languages(rows: DataFrame, samples: DataFrame) -> DataFrame:
     """(result_id, text, label) to one row per stretch: result_id, no, stretches, lang_code, confidence, stretch, label_code.
 
-    ``no`` counts from 1 in reading order and ``stretches`` is their number in the text. Texts that
-    are null or have fewer than two words of letters only give no row; other columns are dropped.
+    ``no`` counts from 1 in reading order and ``stretches`` is their number in the text. A text that has
+    fewer than two words of letters only (codes, numbers, nothing) is ``und`` with confidence 0; a null
+    text gives no row; other columns are dropped.
     """
     net = rows.sparkSession.sparkContext.broadcast(Reader(trained(samples)))  # a few hundred kB, fixed by its shape
 
@@ -257,6 +258,8 @@ def languages(rows: DataFrame, samples: DataFrame) -> DataFrame:
                 texts = [mend(t)[1] if not t.isascii() else t for t in some["text"]]
                 out = []
                 for i, lab, t, found in zip(some["result_id"], some["label_code"], texts, net.value.read(texts)):
+                    if not found:
+                        out.append((i, 1, 1, "und", 0.0, t, lab))
                     for no, (g, c, s, e) in enumerate(found, 1):
                         out.append((i, no, len(found), g, round(c, 4), t[s:e], lab))
                 yield pd.DataFrame(out, columns=["result_id", "no", "stretches", "lang_code", "confidence", "stretch", "label_code"])
@@ -271,7 +274,7 @@ def translation_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = translation_languages(spark, sf_dir)
+    s = translation_languages(spark, sf_dir).where("lang_code <> 'und'")
     return s.where((F.col("stretches") > 1) | F.col("label_code").isNull() | (F.col("label_code") != F.col("lang_code"))).select(
         "result_id", F.when(F.col("stretches") == 1, 0).otherwise(F.col("no")).cast("int").alias("segment_no"), "lang_code"
     )

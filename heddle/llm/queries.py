@@ -23,6 +23,7 @@ def queries() -> dict:
         "p9_found": leaks.p9_found,
         "p10_found": spans.p10_found,
         "p10_share": spans.p10_share,
+        "p10_removed": spans.p10_removed,
     }
 
 

@@ -69,6 +69,8 @@ def _codes(texts: list[str]) -> np.ndarray:
 def _units(texts: list[str], least: int, gram: int) -> tuple[np.ndarray, ...]:
     """Of the texts, put end to end: (text number, first window, windows, gram hash, first window less gram, digest) per unit."""
     sizes = np.array([len(t) for t in texts], np.int64)
+    if sizes.sum() >= 1 << 28:
+        raise ValueError("a text of 2**28 characters or more can't be told apart by position")
     begin = np.cumsum(sizes) - sizes
     r = Rolling(_codes(texts), 0)
     starts = np.arange(int(sizes.sum()) - gram + 1)
@@ -148,11 +150,12 @@ def _with_range(rows: DataFrame, keys: list[str], lo: str, hi: str, extra: list
     return slotted.drop("lo", "hi").join(back, [*keys, "_slot"]).drop("_slot")
 
 
-def shared_spans(docs: DataFrame, least: int = 200) -> DataFrame:
+def shared_spans(docs: DataFrame, least: int = 200, later: bool = False) -> DataFrame:
     """(doc_id, text) to (doc_id, span_start, span_end): each longest run of positions that lie in a stretch of ``least`` characters which another document holds too.
 
     Positions count code points from 1, ends included. Null texts and texts shorter than ``least``
-    give nothing; rows of one ``doc_id`` count as one document; other columns are dropped.
+    give nothing; rows of one ``doc_id`` count as one document; other columns are dropped. With ``later``
+    only what a document with a smaller id holds too: the spans to remove where the earliest occurrence is kept.
     """
     gram = max(1, least // 2)
     texts = docs.where(F.length("text") >= least).select("doc_id", "text")
@@ -160,10 +163,11 @@ def shared_spans(docs: DataFrame, least: int = 200) -> DataFrame:
     met = _with_range(units, ["fp"], "doc_id", "doc_id", [F.struct("rel", "n", "digest")], F.col("lo") < F.col("hi"))
     met = cut(met.select("doc_id", "first", "n", "fp", "rel", "digest", (F.col("_a0") != F.col("_b0")).alias("open")))
     known = cut(_with_range(met, ["fp", "rel", "n", "digest"], "doc_id", "doc_id").select("doc_id", "first", "n", "open", "lo", "hi"))
-    whole = known.where("lo < hi").select("doc_id", (F.col("first") + 1).alias("s"), (F.col("first") + F.col("n") + (least - 1)).alias("e"))
+    wanted = F.col("lo") < (F.col("doc_id") if later else F.col("hi"))
+    whole = known.where(wanted).select("doc_id", (F.col("first") + 1).alias("s"), (F.col("first") + F.col("n") + (least - 1)).alias("e"))
     work = known.where("open AND doc_id = lo").groupBy("doc_id").agg(F.collect_list(F.struct("first", "n", "lo", "hi")).alias("work"))
     windows = texts.join(work, "doc_id").mapInArrow(_read_windows(least), "doc_id bigint, first bigint, w1 bigint, w2 bigint, lo bigint, hi bigint").withColumnsRenamed({"lo": "l", "hi": "h"})
-    single = _with_range(windows, ["w1", "w2"], "l", "h", (), F.col("lo") < F.col("hi")).select("doc_id", (F.col("first") + 1).alias("s"), (F.col("first") + least).alias("e"))
+    single = _with_range(windows, ["w1", "w2"], "l", "h", (), F.col("lo") < F.col("hi")).where(wanted).select("doc_id", (F.col("first") + 1).alias("s"), (F.col("first") + least).alias("e"))
     by_doc = Window.partitionBy("doc_id").orderBy("s", "e")
     before = F.max("e").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
     runs = whole.unionByName(single).withColumn("new", F.when(before >= F.col("s") - 1, 0).otherwise(1)).withColumn("run", F.sum("new").over(by_doc))
@@ -181,11 +185,20 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(docs.select("doc_id", F.length("text").cast("bigint").alias("chars")), "doc_id").withColumn("share", F.round(F.col("shared_chars") / F.col("chars"), 6))
 
 
-SQL = {
-    "p10_found": """
+def p10_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans, in their original offsets, that go if of each shared stretch only the earliest document keeps it."""
+    return shared_spans(table(spark, sf_dir, "documents"), later=True)
+
+
+_CTE = """
 WITH w AS (SELECT doc_id, k, substr(text, k, 200) AS s FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS k FROM documents WHERE length(text) >= 200)),
-d AS (SELECT s FROM w GROUP BY s HAVING min(doc_id) <> max(doc_id)), h AS (SELECT doc_id, k AS a, k + 199 AS b FROM w WHERE s IN (SELECT s FROM d)),
+d AS (SELECT s, min(doc_id) AS lo FROM w GROUP BY s HAVING min(doc_id) <> max(doc_id)), h AS (SELECT doc_id, k AS a, k + 199 AS b FROM w JOIN d USING (s) WHERE {}),
 r AS (SELECT *, CASE WHEN max(b) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= a - 1 THEN 0 ELSE 1 END AS fresh FROM h),
-g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY a) AS n FROM r)
-SELECT doc_id, min(a)::BIGINT AS span_start, max(b)::BIGINT AS span_end FROM g GROUP BY doc_id, n"""
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY a) AS n FROM r),
+f AS (SELECT doc_id, min(a)::BIGINT AS span_start, max(b)::BIGINT AS span_end FROM g GROUP BY doc_id, n)
+"""
+SQL = {
+    "p10_found": _CTE.format("true") + "SELECT * FROM f",
+    "p10_removed": _CTE.format("doc_id > lo") + "SELECT * FROM f",
+    "p10_share": _CTE.format("true") + "SELECT doc_id, spans, shared_chars, length(text)::BIGINT AS chars, round(shared_chars / length(text), 6) AS share FROM (SELECT doc_id, count(*) AS spans, sum(span_end - span_start + 1)::BIGINT AS shared_chars FROM f GROUP BY 1) JOIN documents USING (doc_id)",
 }

@@ -189,7 +189,7 @@ def test_languages_edges(spark, small):
     df = spark.createDataFrame(rows, "result_id bigint, text string, label string").withColumn("no", F.lit(1)).withColumn("lang_code", F.lit("x"))
     samples = spark.read.parquet(f"{small}/language_samples.parquet")
     got = sorted((r["result_id"], r["no"], r["lang_code"], r["label_code"]) for r in language.languages(df, samples).collect())
-    assert got == [(1, 1, "fi", "sv"), (2, 1, "sv", "sv"), (2, 2, "pl", "sv"), (6, 1, "en", "en")]
+    assert got == [(1, 1, "fi", "sv"), (2, 1, "sv", "sv"), (2, 2, "pl", "sv"), (4, 1, "und", "fi"), (5, 1, "und", "fi"), (6, 1, "en", "en")]
     assert language.languages(df.limit(0), samples).count() == 0
 
 
@@ -290,6 +290,21 @@ def test_spans_by_brute_force(spark, seed):
     assert got == _brute(docs, 30)
 
 
+def test_later_spans(spark):
+    """Of each shared stretch the earliest document keeps it, the others lose just that, by brute force."""
+    r = random.Random(9)
+    word = lambda n: "".join(r.choice("abcdeå ") for _ in range(n))
+    shared = [word(60) for _ in range(4)]
+    docs = [(i, word(r.randrange(30)) + "".join(r.choice(shared)[r.randrange(12) :] + word(r.randrange(20)) for _ in range(r.randrange(4)))) for i in range(30)]
+    seen, want = set(), set()
+    for i, x in docs:
+        mask = sorted({p for k in range(len(x) - 29) if x[k : k + 30] in seen for p in range(k + 1, k + 31)})
+        want |= {(i, p, next(q for q in mask if q >= p and q + 1 not in mask)) for p in mask if p - 1 not in mask}
+        seen |= {x[k : k + 30] for k in range(len(x) - 29)}
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {tuple(x) for x in spans.shared_spans(df, 30, later=True).collect()} == want
+
+
 def test_spans_edges(spark):
     df = spark.createDataFrame([(1, LONG), (2, "x" + LONG), (2, "x" + LONG)], "doc_id bigint, text string")
     assert sorted(map(tuple, spans.shared_spans(df).collect())) == [(1, 1, 200_000), (2, 2, 200_001)]
