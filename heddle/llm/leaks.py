@@ -3,26 +3,31 @@
 Texts and items are reduced to their words in lower case with one blank between, so whatever
 stood between the words is gone. A stretch of ``least`` letters that occurs with at most
 ``edits`` edits shares at least ``least + 1 - q (edits + 1)`` q-grams with its source, all of
-them within ``edits`` diagonals (q-gram lemma). So the q-grams a text shares with an item are
-counted in bands of diagonals that overlap, a band that reaches the bound becomes a region,
-and a region is verified by banded alignment. For pN_found an exact check of the words in a
-row follows inside the verified pairs.
+them within ``edits`` diagonals (q-gram lemma). The corpus is read once, whatever the number of
+items: the q-grams of all items lie in a bitmap of fixed size, and only the parts of a text
+in which enough q-grams lie close enough together to be of some item go on. The q-grams of the
+distinct parts are joined with those of the items and counted in bands of diagonals that overlap;
+a band that reaches the bound of its item becomes a region, and a region is verified by banded
+alignment. For pN_found an exact check of the words in a row follows inside the verified pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..operators.skew import attach_by_key
+from ..session import cut, parts, table
 
-#: Items that one pass over the corpus takes; more are read in blocks, each with its own index of bounded size.
-BLOCK = 4_000
+#: The bitmap of the items' q-grams has two to this power bits (8 MB), however many items there are; more items only let more parts pass.
+BITS = 26
+#: Characters that are hashed at a time.
+CHUNK = 400_000
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,42 +53,62 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
     return h
 
 
-@dataclass
-class Index:
-    """The q-grams of a block of items, sorted, with the items and offsets where they stand."""
-
-    ids: list[int]
-    lines: list[str]
-    run: int
-    edits: int
-    q: int
-    least: np.ndarray
-    grams: np.ndarray
-    item: np.ndarray
-    offset: np.ndarray
-
-
-def build_index(items: list[tuple[int, str]], run: int, edits: int) -> Index:
-    """``run``: words in a row that make a leak. The shortest stretch of so many words of each item bounds the filter."""
-    ids, lines, least = [], [], []
-    for i, t in items:
-        w = (t or "").split(" ")
-        if len(w) >= run:
-            ids.append(i)
-            lines.append(t)
-            size = np.cumsum([0] + [len(x) + 1 for x in w])
-            least.append(int((size[run:] - size[:-run]).min()) - 1)
-    q = max(1, min([10] + [n // (edits + 2) for n in least]))
-    g, it, of = [], [], []
-    for k, t in enumerate(lines):
-        h = _grams(_codes(t), q)
-        g.append(h)
-        it.append(np.full(len(h), k, np.int32))
-        of.append(np.arange(len(h), dtype=np.int32))
-    cat = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
-    grams, item, offset = cat(g, np.uint64), cat(it, np.int32), cat(of, np.int32)
-    order = np.argsort(grams, kind="stable")
-    return Index(ids, lines, run, edits, q, np.array(least, np.int64), grams[order], item[order], offset[order])
+def _shortest(line: str, run: int) -> int:
+    """Letters of the shortest stretch of ``run`` words; 0 if there are fewer words."""
+    w = line.split(" ")
+    size = np.cumsum([0] + [len(x) + 1 for x in w])
+    return int((size[run:] - size[:-run]).min()) - 1 if len(w) >= run else 0
+
+
+def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) < CHUNK):
+            size += len(texts[end])
+            end += 1
+        yield at, end
+        at = end
+
+
+class Filter:
+    """The bitmap of the items' q-grams, and how many of them a stretch of ``least`` letters has at least within ``edits``."""
+
+    def __init__(self, words: np.ndarray, bits: int, q: int, least: int, edits: int):
+        self.words, self.mask, self.q = words, np.uint64((1 << bits) - 1), q
+        self.bound, self.width = max(1, least + 1 - q * (edits + 1)), least + edits - q + 1
+
+    def hits(self, grams: np.ndarray) -> np.ndarray:
+        at = grams & self.mask
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+    def parts(self, texts: list[str]) -> Iterator[tuple[int, str]]:
+        """(number of the text, part) of the parts, in whole words, in which each place lies in a stretch with enough hits."""
+        whole = "\x00".join(texts)
+        start = np.cumsum([0] + [len(t) + 1 for t in texts])
+        h = _grams(_codes(whole), self.q)
+        if not len(h):
+            return
+        hit = np.flatnonzero(self.hits(h))
+        if len(hit) < self.bound:
+            return
+        # Stretches from one hit to the (bound-1)-th after it that are short enough and of one text.
+        first, last = hit[: len(hit) - self.bound + 1], hit[self.bound - 1 :]
+        text = np.searchsorted(start, first, "right") - 1
+        good = (last - first < self.width) & (last < start[text + 1] - 1)
+        first, last, text = first[good], last[good], text[good]
+        if not len(first):
+            return
+        new = np.flatnonzero(np.concatenate([[True], (first[1:] > last[:-1] + self.q) | (text[1:] != text[:-1])]))
+        for a, b in zip(new, [*(new[1:] - 1), len(first) - 1]):
+            t = int(text[a])
+            begin, end = int(first[a] - start[t]), int(last[b] - start[t]) + self.q
+            line = texts[t]
+            # What lies before the first and behind the last hit may belong to the stretch as well: an edit spoils q grams.
+            begin, end = max(0, begin - self.width), end + self.width
+            begin = line.rfind(" ", 0, begin) + 1
+            end = line.find(" ", end)
+            yield t, line[begin : end if end >= 0 else len(line)]
 
 
 def banded_match(a: str, b: str, shift: int, edits: int, least: int) -> bool:
@@ -117,43 +142,6 @@ def banded_match(a: str, b: str, shift: int, edits: int, least: int) -> bool:
     return False
 
 
-def _regions(ix: Index, docs: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
-    """(document, item, diagonal, first and last offset in the document) of each band that reaches the bound."""
-    width = np.int64(ix.edits + 1)
-    texts = "\x00".join(docs)
-    sizes = np.array([len(t) for t in docs], np.int64)
-    start = np.concatenate([[0], np.cumsum(sizes + 1)])
-    h = _grams(_codes(texts), ix.q)
-    if not len(h) or not len(ix.grams):
-        return
-    lo = np.searchsorted(ix.grams, h, "left")
-    hit = np.flatnonzero(ix.grams[np.minimum(lo, len(ix.grams) - 1)] == h)
-    if not len(hit):
-        return
-    lo = lo[hit]
-    n = np.searchsorted(ix.grams, h[hit], "right") - lo
-    pos = np.repeat(hit, n)
-    at = np.repeat(lo, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-    doc = np.searchsorted(start, pos, "right") - 1
-    inside = pos - start[doc]
-    item, off = ix.item[at].astype(np.int64), ix.offset[at].astype(np.int64)
-    diag = inside - off + 100_000_000
-    bound = np.maximum(1, ix.least + 1 - ix.q * (ix.edits + 1))
-    band = diag // width
-    # Each diagonal lies in its own band and in the one before, which is two widths broad.
-    key = np.concatenate([((doc * len(ix.ids) + item) << 28) | band, ((doc * len(ix.ids) + item) << 28) | (band - 1)])
-    spot, dia = np.concatenate([inside, inside]), np.concatenate([diag, diag])
-    order = np.lexsort((spot, key))
-    key, spot, dia = key[order], spot[order], dia[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    count = np.diff(np.concatenate([first, [len(key)]]))
-    pair = key[first] >> 28
-    for f, c, p in zip(first, count, pair):
-        it = int(p % len(ix.ids))
-        if c >= bound[it]:
-            yield int(p // len(ix.ids)), it, int(dia[f]) - 100_000_000, int(spot[f]), int(spot[f + c - 1])
-
-
 def _row_windows(line: str, run: int) -> set[str]:
     w = line.split(" ")
     return {" ".join(w[i : i + run]) for i in range(len(w) - run + 1)}
@@ -164,62 +152,89 @@ def _exact(line: str, doc: str, run: int) -> bool:
     return any(f" {x} " in padded for x in _row_windows(line, run))
 
 
-def leaks(docs: DataFrame, items: DataFrame, run: int = 12, edits: int = 1, exact: bool = True, block: int = BLOCK) -> DataFrame:
+def _item_rows(run: int):
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(least=[_shortest(x, run) for x in b["line"]]).query("least > 0")
+
+    return read
+
+
+def _gram_rows(key: str, q: int, keep: Filter | None = None):
+    """Rows (key, gram, place) of the q-grams of each line; with a filter only those it lets pass."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, lines = b.column(0), b.column(1).to_pylist()
+            for k, t in enumerate(lines):
+                h = _grams(_codes(t), q)
+                at = np.flatnonzero(keep.hits(h)) if keep else np.arange(len(h))
+                own = pa.array([keys[k].as_py()] * len(at), keys.type)
+                yield pa.RecordBatch.from_arrays([own, pa.array(h[at].view(np.int64)), pa.array(at.astype(np.int32))], [key, "gram", "place"])
+
+    return read
+
+
+def leaks(docs: DataFrame, items: DataFrame, run: int = 12, edits: int = 1, exact: bool = True, bits: int = BITS) -> DataFrame:
     """(doc_id, text) and (item_id, text) to (doc_id, item_id) of each document with a passage of an item.
 
     A passage is ``run`` words of the item in a row; with ``exact`` they must stand in a row in
-    the document, else ``edits`` letters may differ. Items are read in blocks of ``block``, whose
-    index is bounded by it, against all documents; whole texts are scanned. Null texts and items
-    of fewer words give nothing; a pair comes once even for repeated rows; other columns are dropped.
+    the document, else ``edits`` letters may differ. Whole texts are scanned, once for all items.
+    Null texts and items of fewer words give nothing; a pair comes once even for repeated rows;
+    other columns are dropped.
     """
+    spark = docs.sparkSession
     lines = docs.where(F.col("text").isNotNull()).select("doc_id", word_line(F.col("text")).alias("line")).where(F.length("line") > 0)
     numbered = items.where(F.col("text").isNotNull()).select("item_id", word_line(F.col("text")).alias("line"))
-    spark = docs.sparkSession
-    out = None
-    for some in _blocks(numbered, block):
-        ix = spark.sparkContext.broadcast(build_index(some, run, edits))
-
-        def scan(batches: Iterator[pd.DataFrame], ix=ix) -> Iterator[pd.DataFrame]:
-            x: Index = ix.value
-            for b in batches:
-                keys, texts = b["doc_id"].tolist(), b["line"].tolist()
-                at = 0
-                while at < len(texts):
-                    end, size = at, 0
-                    while end < len(texts) and (end == at or size + len(texts[end]) < 400_000):
-                        size += len(texts[end])
-                        end += 1
-                    found: dict[tuple[int, int], bool] = {}
-                    for d, i, diag, first, last in _regions(x, texts[at:end]):
-                        if found.get((d, i)):
-                            continue
-                        doc, line, pad = texts[at + d], x.lines[i], int(x.least[i]) + x.q
-                        begin = max(0, first - pad)
-                        part = doc[begin : last + x.q + pad]
-                        ok = banded_match(part, line, begin - diag, x.edits + 1, int(x.least[i]))
-                        found[(d, i)] = ok and (not exact or _exact(line, doc, run))
-                    got = [(keys[at + d], x.ids[i]) for (d, i), ok in found.items() if ok]
-                    if got:
-                        yield pd.DataFrame(got, columns=["doc_id", "item_id"])
-                    at = end
-
-        part = lines.mapInPandas(scan, "doc_id bigint, item_id bigint")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = spark.createDataFrame([], "doc_id bigint, item_id bigint")
-    return out.distinct()
-
-
-def _blocks(items: DataFrame, block: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of a bounded number, in order of their id."""
-    some: list[tuple[int, str]] = []
-    for r in items.orderBy("item_id").toLocalIterator():
-        some.append((r["item_id"], r["line"]))
-        if len(some) == block:
-            yield some
-            some = []
-    if some:
-        yield some
+    known = cut(numbered.distinct().mapInPandas(_item_rows(run), "item_id bigint, line string, least int"))
+    least = known.agg(F.min("least")).first()[0]
+    if least is None:
+        return spark.createDataFrame([], "doc_id bigint, item_id bigint")
+    q = max(1, min(10, least // (edits + 2)))
+    grams = cut(known.select("item_id", "line").mapInArrow(_gram_rows("item_id", q), "item_id bigint, gram bigint, place int"))
+    bit = F.col("gram").bitwiseAND((1 << bits) - 1)
+    set_bits = grams.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, int((gram & {(1 << bits) - 1}L) & 63))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+    words = np.zeros(1 << bits - 6, np.uint64)
+    words[set_bits["w"].to_numpy(np.int64)] = set_bits["b"].to_numpy(np.int64).view(np.uint64)
+    keep = spark.sparkContext.broadcast(Filter(words, bits, q, least, edits))  # of fixed size
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for i, j in _chunks(texts):
+                got = [(keys[i + t], part) for t, part in keep.value.parts(texts[i:j])]
+                if got:
+                    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int64()), pa.array([x for _, x in got], pa.string())], ["doc_id", "part"])
+
+    found = cut(lines.mapInArrow(scan, "doc_id bigint, part string").select("doc_id", F.unhex(F.md5("part")).alias("key"), "part"))
+    parts_once = cut(found.groupBy("key").agg(F.min("part").alias("part")))
+    marks = parts_once.mapInArrow(lambda batches: _gram_rows("key", q, keep.value)(batches), "key binary, gram bigint, place int")
+    posted = attach_by_key(marks, grams.join(known.select("item_id", "least"), "item_id").select("item_id", "gram", "least", F.col("place").alias("off")), ["gram"], ["key", "place"])
+    width = edits + 1
+    band = F.floor(F.col("diag") / width)
+    # Each diagonal lies in its own band and in the one before, which is two widths broad.
+    banded = posted.withColumn("diag", F.col("place") - F.col("off")).select("key", "item_id", "least", "place", "diag", F.explode(F.array(band, band - 1)).alias("band"))
+    counted = banded.groupBy("key", "item_id", "least", "band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("place", "diag")).alias("m"), F.max("place").alias("last"))
+    regions = counted.where(F.col("n") >= F.greatest(F.lit(1), F.col("least") + 1 - q * (edits + 1))).select("key", "item_id", "least", "n", F.col("m.place").alias("first"), F.col("m.diag").alias("diag"), "last")
+    full = attach_by_key(attach_by_key(regions, known.select("item_id", "line"), ["item_id"], ["key"]), parts_once, ["key"], ["item_id"])
+    full = full.repartition(parts(spark), "key", "item_id").sortWithinPartitions("key", "item_id", F.desc("n"))
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done = None  # the pair that is settled already; its other regions follow it
+        for b in batches:
+            got = []
+            for key, item, size, first, diag, last, line, part in zip(*(b[c] for c in ("key", "item_id", "least", "first", "diag", "last", "line", "part"))):
+                if (key, item) == done:
+                    continue
+                begin = max(0, first - size - q)
+                if banded_match(part[begin : last + 2 * q + size], line, begin - diag, edits + 1, size):
+                    done = (key, item)
+                    if not exact or _exact(line, part, run):
+                        got.append((key, item))
+            yield pd.DataFrame(got, columns=["key", "item_id"])
+
+    proved = full.mapInPandas(verify, "key binary, item_id bigint")
+    return attach_by_key(found.select("doc_id", "key"), proved, ["key"], ["doc_id"]).select("doc_id", "item_id").distinct()
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
