@@ -15,6 +15,7 @@ def queries() -> dict:
         "p3_contents": copies.p3_contents,
         "p4_found": terms.p4_found,
         "p4_terms": terms.p4_terms,
+        "p4_ngrams": terms.p4_ngrams,
         "p6_found": listings.p6_found,
         "p6_products": listings.listing_products,
         "p7_found": language.p7_found,

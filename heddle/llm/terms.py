@@ -1,11 +1,12 @@
 """Frequency of every distinct value or term (problem 4), by suffix-sorted n-gram counting.
 
 Each position of a text gives the suffix that starts there, truncated to the longest term
-wanted. Suffixes are routed by their first term, sorted in reverse lexicographic order, and
-read once with a stack whose levels hold the count and the record set of the prefix so far;
-a prefix is final as soon as a suffix comes that doesn't share it. A first term may fill a
-third of all rows, so its suffixes are spread by record over slots; as records don't overlap
-between slots, counts and record counts of the slots just add up.
+wanted, and the length from which its prefixes are new to the record: so records are counted by
+sums, and no set of records is held however many have a term. Equal suffixes are combined, routed
+by their first term, sorted in reverse lexicographic order, and read once with a stack whose
+levels hold the counts of the prefix so far; a prefix is final as soon as a suffix comes that
+doesn't share it. A first term may fill a third of all rows, so its suffixes are spread over
+slots, whose counts just add up.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,26 +33,52 @@ def label(c: Column) -> Column:
     return F.filter(F.array(F.trim(F.regexp_replace(F.lower(c), SPACE, " "))), lambda x: x != "")
 
 
+def _suffixes(longest: int):
+    """Each position's suffix with the least length at which its prefix didn't stand in the record before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fields, suffixes, new, weights = [], [], [], []
+            for field, tokens, weight in zip(*(b.column(c).to_pylist() for c in ("field_name", "tokens", "weight"))):
+                seen: set[tuple[str, ...]] = set()
+                for i in range(len(tokens)):
+                    s = tuple(tokens[i : i + longest])
+                    # A prefix that is new makes every longer one new.
+                    at = next((j for j in range(1, len(s) + 1) if s[:j] not in seen), len(s) + 1)
+                    seen.update(s[:j] for j in range(at, len(s) + 1))
+                    fields.append(field)
+                    suffixes.append(s)
+                    new.append(at)
+                    weights.append(weight)
+                    if len(fields) >= 50_000:
+                        yield _rows(fields, suffixes, new, weights)
+                        fields, suffixes, new, weights = [], [], [], []
+            yield _rows(fields, suffixes, new, weights)
+
+    return run
+
+
+def _rows(fields: list, suffixes: list, new: list, weights: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(fields, pa.string()), pa.array(suffixes, pa.list_(pa.string())), pa.array(new, pa.int32()), pa.array(weights, pa.int64())], ["field_name", "suffix", "new", "weight"])
+
+
 def _stack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     field: str | None = None
     path: list[str] = []
     count: list[int] = []
-    records: list[dict[int, int]] = []
+    records: list[int] = []
     out: list[tuple] = []
 
     def pop(keep: int) -> None:
         while len(path) > keep:
-            c, r = count.pop(), records.pop()
-            out.append((field, list(path), c, sum(r.values())))
+            c = count.pop()
+            out.append((field, list(path), c, records.pop()))
             path.pop()
             if path:
                 count[-1] += c
-                if len(r) > len(records[-1]):
-                    r, records[-1] = records[-1], r
-                records[-1].update(r)
 
     for b in batches:
-        for f, s, rec, w in zip(b["field_name"], b["suffix"], b["value_id"], b["weight"]):
+        for f, s, new, w in zip(b["field_name"], b["suffix"], b["new"], b["weight"]):
             if f != field:
                 pop(0)
                 field = f
@@ -61,9 +89,10 @@ def _stack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for x in s[same:]:
                 path.append(x)
                 count.append(0)
-                records.append({})
+                records.append(0)
             count[-1] += w
-            records[-1][rec] = w
+            for j in range(new - 1, n):
+                records[j] += w
         if len(out) > 20_000:
             yield pd.DataFrame(out, columns=["field_name", "terms", "cf", "df"])
             out = []
@@ -78,11 +107,10 @@ def term_counts(rows: DataFrame, longest: int = 1, fan: int | None = None) -> Da
     Records with equal tokens are read once with their number as weight. Null or empty tokens
     give no term; extra columns are dropped; an empty table gives no row.
     """
-    values = rows.where(F.size("tokens") > 0).groupBy("field_name", "tokens").agg(F.count(F.lit(1)).alias("weight")).withColumn("value_id", F.xxhash64("field_name", "tokens"))
-    suffixes = values.select(
-        "field_name", "value_id", "weight", F.explode(F.transform("tokens", lambda _, i: F.slice(F.col("tokens"), i + 1, longest))).alias("suffix")
-    ).withColumn("_slot", salt("value_id", fan=fan))
-    routed = suffixes.repartition("field_name", F.col("suffix")[0], "_slot").sortWithinPartitions("field_name", F.desc("suffix")).select("field_name", "suffix", "value_id", "weight")
+    values = rows.where(F.size("tokens") > 0).groupBy("field_name", "tokens").agg(F.count(F.lit(1)).alias("weight"))
+    each = values.mapInArrow(_suffixes(longest), "field_name string, suffix array<string>, new int, weight bigint")
+    suffixes = each.groupBy("field_name", "suffix", "new").agg(F.sum("weight").alias("weight")).withColumn("_slot", salt("suffix", fan=fan))
+    routed = suffixes.repartition("field_name", F.col("suffix")[0], "_slot").sortWithinPartitions("field_name", F.desc("suffix")).select("field_name", "suffix", "new", "weight")
     part = routed.mapInPandas(_stack, "field_name string, terms array<string>, cf bigint, df bigint")
     return part.groupBy("field_name", "terms").agg(F.sum("cf").alias("occurrences"), F.sum("df").alias("records"))
 
@@ -111,12 +139,20 @@ def p4_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked(sources(spark, sf_dir))
 
 
+def p4_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run of up to three terms with its occurrences, records and mark."""
+    return marked(sources(spark, sf_dir), longest=3)
+
+
 _CTE = r"""
-WITH r AS (SELECT 'enriched_purchase_description' AS field_name, line_id AS id, regexp_extract_all(lower(enriched_purchase_description), '[\p{L}\p{N}]+') AS w FROM agent1_unified_lines
-  UNION ALL SELECT 'ai_purchase_group_l5', group_row, list_filter([trim(regexp_replace(lower(ai_purchase_group_l5), '[\p{Z}\t\n\x0b\f\r\x1c-\x1f\x85]+', ' ', 'g'))], lambda x: x <> '') FROM agent2_purchase_groups),
+WITH r AS (SELECT 'enriched_purchase_description' AS field_name, line_id AS id, regexp_extract_all(lower(enriched_purchase_description), '[\p{{L}}\p{{N}}]+') AS w FROM agent1_unified_lines
+  UNION ALL SELECT 'ai_purchase_group_l5', group_row, list_filter([trim(regexp_replace(lower(ai_purchase_group_l5), '[\p{{Z}}\t\n\x0b\f\r\x1c-\x1f\x85]+', ' ', 'g'))], lambda x: x <> '') FROM agent2_purchase_groups),
 h AS (SELECT field_name, count(*) AS held FROM r WHERE len(w) > 0 GROUP BY 1),
-t AS (SELECT field_name, id, unnest(w) AS term FROM r),
+t AS ({}),
 c AS (SELECT field_name, term, count(*) AS occurrences, count(DISTINCT id) AS records FROM t WHERE term IS NOT NULL GROUP BY 1, 2),
 m AS (SELECT c.*, CASE WHEN records <= 2 THEN 'rare' WHEN records * 10 > held THEN 'common' END AS mark FROM c JOIN h USING (field_name))
 """
-SQL = {"p4_found": _CTE + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL", "p4_terms": _CTE + "SELECT field_name, term, occurrences::BIGINT AS occurrences, records::BIGINT AS records, mark FROM m"}
+_WORDS = "SELECT field_name, id, unnest(w) AS term FROM r"
+_RUNS = " UNION ALL ".join([_WORDS, *(f"SELECT field_name, id, array_to_string(w[k:k + {n}], ' ') FROM (SELECT *, unnest(range(1, len(w) - {n - 1})) AS k FROM r)" for n in (1, 2))])
+_ALL = "SELECT field_name, term, occurrences::BIGINT AS occurrences, records::BIGINT AS records, mark FROM m"
+SQL = {"p4_found": _CTE.format(_WORDS) + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL", "p4_terms": _CTE.format(_WORDS) + _ALL, "p4_ngrams": _CTE.format(_RUNS) + _ALL}
