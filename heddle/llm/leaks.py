@@ -214,8 +214,8 @@ def leaks(docs: DataFrame, items: DataFrame, run: int = 12, edits: int = 1, exac
     band = F.floor(F.col("diag") / width)
     # Each diagonal lies in its own band and in the one before, which is two widths broad.
     banded = posted.withColumn("diag", F.col("place") - F.col("off")).select("key", "item_id", "least", "place", "diag", F.explode(F.array(band, band - 1)).alias("band"))
-    counted = banded.groupBy("key", "item_id", "least", "band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("place", "diag")).alias("m"), F.max("place").alias("last"))
-    regions = counted.where(F.col("n") >= F.greatest(F.lit(1), F.col("least") + 1 - q * (edits + 1))).select("key", "item_id", "least", "n", F.col("m.place").alias("first"), F.col("m.diag").alias("diag"), "last")
+    counted = banded.groupBy("key", "item_id", "least", "band").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"), F.max("place").alias("last"), F.min("diag").alias("low"), F.max("diag").alias("high"))
+    regions = counted.where(F.col("n") >= F.greatest(F.lit(1), F.col("least") + 1 - q * (edits + 1))).select("key", "item_id", "least", "n", "first", "last", F.expr("int((low + high) / 2)").alias("diag"))
     full = attach_by_key(attach_by_key(regions, known.select("item_id", "line"), ["item_id"], ["key"]), parts_once, ["key"], ["item_id"])
     full = full.repartition(parts(spark), "key", "item_id").sortWithinPartitions("key", "item_id", F.desc("n"))
 
