@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import attach_by_key, min_by_key
-from ..session import table
+from ..session import cut, table
 
 #: A word, in which signs between two digits belong to the number.
 WORD = r"((?:\p{N}(?:[^\p{L}\p{M}\p{N}\p{Z}\p{Cc};|]*\p{N})*|[\p{L}\p{M}])+)"
@@ -42,11 +42,13 @@ def copies(rows: DataFrame) -> DataFrame:
     rows = rows.where(F.col("text").isNotNull() & F.col("text").rlike(r"[\p{L}\p{N}]")).select("table_name", "record_id", "text")
     digest = F.unhex(F.md5("text")).alias("digest")
     values = rows.groupBy("table_name", "text").agg(F.min("record_id").alias("value_id"))
-    parts = values.select("table_name", "value_id", F.posexplode(canonical_parts(F.col("text"))).alias("no", "part"))
+    # Canonicalised once: read three times below.
+    values = cut(values.select("table_name", "value_id", digest, canonical_parts(F.col("text")).alias("said")))
+    parts = values.select("table_name", "value_id", F.posexplode("said").alias("no", "part"))
     coded = min_by_key(parts.withColumn("at", F.struct("value_id", "no")), ["table_name", "part"], "at", "part_id", ["value_id"])
     tuples = coded.groupBy("table_name", "value_id").agg(F.sort_array(F.collect_list("part_id")).alias("parts")).withColumn("parts", F.unhex(F.md5(F.to_json("parts"))))
     classes = min_by_key(tuples, ["table_name", "parts"], "value_id", "keep_id", ["value_id"]).select("table_name", "value_id", "keep_id")
-    known = values.select("table_name", "value_id", digest).join(classes, ["table_name", "value_id"]).select("table_name", "digest", "keep_id")
+    known = values.select("table_name", "value_id", "digest").join(classes, ["table_name", "value_id"]).select("table_name", "digest", "keep_id")
     return attach_by_key(rows.select("table_name", "record_id", digest), known, ["table_name", "digest"], ["record_id"]).select("table_name", "record_id", "keep_id")
 
 
