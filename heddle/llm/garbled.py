@@ -7,6 +7,9 @@ replaced, so correct text beside them stays. One letter read as another single l
 proof by itself (an ê may be right): it counts if it stands where no language has it (a sign
 between two letters, a foreign script inside a word), or if the word it would come from is
 known to the corpus and more frequent there than the word as it stands.
+
+Letters of other scripts (Greek, Cyrillic, Chinese and so on) have an automaton of their own.
+A lone sequence of it may be right where it stands, so these count in runs that touch.
 """
 
 from __future__ import annotations
@@ -26,12 +29,15 @@ from ..session import cut, table
 LETTERS = "åäöæøüßąćęłńóśźżÅÄÖÆØÜĄĆĘŁŃÓŚŹŻ"
 #: Letters of other languages that names and loan words bring in.
 GUESTS = "ÂÃÇÊÈÉËÎÏÔÕÛÙÐÞÑâãçêèéëîïôõûùðþñŒœ"
-SIGNS = "°²³½¼¾±µ€№–—‘’“”„…•×·§«»©®™\xa0"
+SIGNS = "°²³½¼¾±µ€№–—‘’“”„…•×·§«»©®™Ωφπ≤≥≈→√\xa0"
+# First and last letters of other scripts.
+SCRIPTS = {"greek": (0x370, 0x3FF), "cyrillic": (0x400, 0x52F), "hebrew": (0x590, 0x5FF), "arabic": (0x600, 0x6FF), "kana": (0x3000, 0x30FF), "han": (0x4E00, 0x9FFF), "hangul": (0xAC00, 0xD7A3)}
 #: Written in UTF-8 and read as one of these.
 READ_AS = ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp437", "cp850", "cp852", "cp1251", "mac_roman", "cp866", "koi8-r", "cp1257", "cp1254")
 #: Written in the first and read as the second, a letter for a letter.
 ONE_BYTE = [(w, r) for w in ("cp1250", "cp1252", "iso8859-2", "mac_roman", "cp850") for r in ("cp1252", "cp437", "cp850", "cp1250", "mac_roman", "cp1251", "cp866", "koi8-r") if w != r]
 SPACE_LIKE = "\xa0–—‘’“”„…•‚"
+EDGES = "\"'“”„.!?[]{}–-"
 _LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]")
 
 
@@ -70,6 +76,64 @@ def _automaton():
     return a
 
 
+@lru_cache(1)
+def _scripts():
+    """The sequences of other scripts under every encoding, each with the letter it stands for."""
+    import ahocorasick
+
+    a = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for enc in READ_AS:
+        letter = [read_wrongly(bytes([b]), enc) for b in range(256)]
+        for lo, hi in SCRIPTS.values():
+            for c in range(lo, hi + 1):
+                seq = "".join(letter[b] for b in chr(c).encode("utf-8"))
+                if not a.exists(seq):
+                    a.add_word(seq, c)
+    a.make_automaton()
+    return a
+
+
+def _script(c: int) -> str:
+    return next(k for k, (lo, hi) in SCRIPTS.items() if lo <= c <= hi)
+
+
+@lru_cache(1)
+def _bytes() -> list[dict[str, int]]:
+    return [{read_wrongly(bytes([b]), enc): b for b in range(256)} for enc in READ_AS]
+
+
+def _reread(run: str) -> str | None:
+    """A run under the encoding that makes the most of it letters of one script; one sequence may stand for two letters under two encodings."""
+    found = []
+    for back in _bytes():
+        try:
+            t = bytes(back[c] for c in run).decode("utf-8")
+        except (KeyError, UnicodeDecodeError):
+            continue
+        kinds = [next((k for k, (lo, hi) in SCRIPTS.items() if lo <= ord(c) <= hi), "") for c in t if not c.isascii()]
+        east = sum(k in ("kana", "han") for k in kinds)
+        found.append((max(east, *(kinds.count(k) for k in SCRIPTS)) - len(kinds), -sum(c.isascii() for c in t), t))
+    return max(found)[2] if found else None
+
+
+def mend_scripts(text: str) -> str:
+    """The text with garbled runs of other scripts mended: sequences that touch, and those beside them with no letter between."""
+    spans = [(end - len(chr(c).encode("utf-8")) + 1, end + 1, c) for end, c in _scripts().iter_long(text)]
+    groups: list[list[tuple[int, int, int]]] = []
+    for s in spans:
+        gap = text[groups[-1][-1][1] : s[0]] if groups else "x"
+        if groups and gap.isascii() and not re.search("[A-Za-z]", gap):
+            groups[-1].append(s)
+        else:
+            groups.append([s])
+    out, at = [], 0
+    for g in groups:
+        if any(x[1] == y[0] and _script(x[2]) == _script(y[2]) for x, y in zip(g, g[1:])):
+            out += [text[at : g[0][0]], _reread(text[g[0][0] : g[-1][1]]) or text[g[0][0] : g[-1][1]]]
+            at = g[-1][1]
+    return "".join([*out, text[at:]])
+
+
 @lru_cache(1)
 def _single() -> list[dict[str, str]]:
     """For each pair of one-byte encodings: wrong character to right letter or sign."""
@@ -124,8 +188,8 @@ def _mixed(text: str, i: int) -> bool:
     return bool(re.search("[A-Za-z]", text[a:b]))
 
 
-def mend(text: str) -> tuple[bool, str, list[tuple[str, str]]]:
-    """(damaged for sure, text with sure spans mended, words in doubt with what they would have been)."""
+def _spans(text: str) -> list[tuple[int, int, dict[str, str]]]:
+    """The spans that the automaton matches, none if all of them may be right as they stand."""
     spans = []
     for end, (k, v) in _automaton().iter_long(text):
         start = end - len(k) + 1
@@ -134,25 +198,35 @@ def mend(text: str) -> tuple[bool, str, list[tuple[str, str]]]:
             after = text[end + 1 : end + 2]
             weak = k[0] in "ÄÅ" and (k[1] in "\xa0–—“”’‘•" or bool(start and text[start - 1].isupper() and not after.isalpha()))
         spans.append((start, end + 1, v, weak))
-    if all(w for *_, w in spans):
-        spans = []
+    return [] if all(w for *_, w in spans) else [x[:3] for x in spans]
+
+
+def stays_garbled(text: str) -> bool:
+    """Whether a mended text still holds sequences or signs that can't be right, or lost characters."""
+    return "\ufffd" in text or bool(_spans(text)) or mend_scripts(text) != text or any(_sure(text, m.start()) for m in _suspects().finditer(text))
+
+
+def mend(text: str) -> tuple[bool, str, list[tuple[int, str, str]]]:
+    """(damaged for sure, text with sure spans mended, words in doubt with their place and what they would have been)."""
+    raw, text = text, mend_scripts(text)
+    spans = _spans(text)
     # One sequence can stand for two characters under two encodings; the encoding that explains most of the text decides.
     ways: dict[str, int] = {}
-    for _, _, v, _ in spans:
+    for _, _, v in spans:
         for way in v:
             ways[way] = ways.get(way, 0) + 1
     way = max(ways, key=ways.get) if ways else ""
     out, at = [], 0
-    for s, e, v, _ in spans:
+    for s, e, v in spans:
         out += [text[at:s], v.get(way) or next(iter(v.values()))]
         at = e
     now = "".join([*out, text[at:]])
-    damaged = bool(spans) or "�" in now
+    damaged = bool(spans) or "�" in now or text != raw
     hits = [m.start() for m in _suspects().finditer(now)]
     if not hits:
         return damaged, now, []
     sure = [i for i in hits if _sure(now, i)]
-    doubt: list[tuple[str, str]] = []
+    doubt: list[tuple[int, str, str]] = []
     if sure:
         damaged = True
         # The pair that explains most of what is sure, then most beside letters and least elsewhere.
@@ -160,19 +234,27 @@ def mend(text: str) -> tuple[bool, str, list[tuple[str, str]]]:
         best = max(_single(), key=lambda m: (sum(now[i] in m for i in sure), sum((1 if beside[i] else -1) for i in hits if now[i] in m)))
         bad = set(now[i] for i in sure)
         now = "".join(best.get(c, c) if c in bad or (c in best and beside.get(i) and not c.isalnum()) else c for i, c in enumerate(now))
-    for w in set(re.findall(r"[^\s,;:|/()]+", now)):
-        w = w.strip("\"'“”„.!?[]{}–-")
+    for m in re.finditer(r"[^\s,;:|/()]+", now):
+        w = m.group().lstrip(EDGES)
+        at, w = m.end() - len(w), w.rstrip(EDGES)
         if re.search("[A-Za-z]", w) and _suspects().search(w):
             for right in {"".join(m.get(c, c) if m.get(c, c) in LETTERS else c for c in w) for m in _single()}:
                 if right != w and all(c.isalpha() for c in right) and not any(c in right for c in set(_suspects().findall(w)) - set(LETTERS)):
-                    doubt.append((w, right))
+                    doubt.append((at, w, right))
     return damaged, now, doubt
 
 
+def _without(text: str, doubt: list[tuple[int, str, str]]) -> str:
+    """The text with the words in doubt blanked; they are judged by the corpus."""
+    for at, w, _ in doubt:
+        text = text[:at] + " " * len(w) + text[at + len(w) :]
+    return text
+
+
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         got = [mend(t) for t in b["text"]]
-        yield pd.DataFrame({"table_name": b["table_name"], "record_id": b["record_id"], "damaged": [g[0] for g in got], "mended": [g[1] for g in got], "doubt": [[{"word": w, "right": r} for w, r in g[2]] for g in got]})
+        yield pd.DataFrame({"table_name": b["table_name"], "record_id": b["record_id"], "damaged": [g[0] for g in got], "mended": [g[1] for g in got], "doubt": [[{"at": i + 1, "word": w, "right": r} for i, w, r in g[2]] for g in got], "lost": [g[0] and stays_garbled(_without(g[1], g[2])) for g in got]})
 
 
 def words(c) -> F.Column:
@@ -183,13 +265,13 @@ def words(c) -> F.Column:
 def garbled(rows: DataFrame) -> DataFrame:
     """(table_name, record_id, text) to (table_name, record_id, original_text) of each record with damaged characters.
 
-    ``original_text`` is null where a character is lost for good. Null, empty and plain ASCII texts are
+    ``original_text`` is null where a character is lost for good or garbled characters are left. Null, empty and plain ASCII texts are
     never damaged; repeated records are reported once each; other columns are dropped.
     """
     suspect = rows.where(F.col("text").rlike(r"[^\x00-\x7f]")).select("table_name", "record_id", "text")
-    read = cut(suspect.mapInPandas(_read, "table_name string, record_id bigint, damaged boolean, mended string, doubt array<struct<word string, right string>>"))
+    read = cut(suspect.mapInPandas(_read, "table_name string, record_id bigint, damaged boolean, mended string, doubt array<struct<at int, word string, right string>>, lost boolean"))
     counts = suspect.select(F.explode(words(F.col("text"))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    each = read.where(F.size("doubt") > 0).select("table_name", "record_id", F.explode("doubt").alias("d")).select("table_name", "record_id", "d.word", "d.right")
+    each = read.where(F.size("doubt") > 0).select("table_name", "record_id", F.explode("doubt").alias("d")).select("table_name", "record_id", "d.at", "d.word", "d.right")
     pairs = each.select("word", "right").distinct().withColumn("lw", F.lower("word")).withColumn("lr", F.lower("right"))
     known = (
         pairs.join(counts.select(F.col("w").alias("lr"), F.col("n").alias("good")), "lr")
@@ -197,10 +279,13 @@ def garbled(rows: DataFrame) -> DataFrame:
         .where(F.col("good") > 2 * F.coalesce("bad", F.lit(0)))
         .groupBy("word").agg(F.max_by("right", F.struct("good", "right")).alias("right"))
     )
-    proved = attach_by_key(each.select("table_name", "record_id", "word").distinct(), known, ["word"], ["record_id"]).groupBy("table_name", "record_id").agg(F.collect_set(F.struct("word", "right")).alias("swaps"))
+    spots = each.select("table_name", "record_id", "at", "word").distinct()
+    proved = attach_by_key(spots, known, ["word"], ["record_id", "at"]).groupBy("table_name", "record_id").agg(F.sort_array(F.collect_set(F.struct("at", "word", "right")), asc=False).alias("swaps"))
     whole = read.join(proved, ["table_name", "record_id"], "left").where(F.col("damaged") | F.col("swaps").isNotNull())
-    mended = F.aggregate(F.coalesce("swaps", F.array().cast("array<struct<word:string,right:string>>")), F.col("mended"), lambda t, s: F.replace(t, s["word"], s["right"]))
-    return whole.select("table_name", "record_id", F.when(~F.col("mended").contains("�"), mended).alias("original_text"))
+    # From the last place to the first, so that the places before stay where they were.
+    none = F.array().cast("array<struct<at:int,word:string,right:string>>")
+    mended = F.aggregate(F.coalesce("swaps", none), F.col("mended"), lambda t, s: F.overlay(t, s["right"], s["at"], F.length(s["word"])))
+    return whole.select("table_name", "record_id", F.when(~F.col("lost"), mended).alias("original_text"))
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:

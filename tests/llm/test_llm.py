@@ -56,6 +56,27 @@ def test_mixed_text_stays():
     assert garbled.mend("15 € / h") == (False, "15 € / h", [])
 
 
+@pytest.mark.parametrize("enc", garbled.READ_AS)
+def test_other_scripts_round_trip(enc):
+    for text in ("Привет, мир", "Ελληνικά κείμενα", "日本語テキスト", "한국어 문장 12", *(["valve Клапан DN50 ja säiliö"] if enc == "cp1252" else [])):
+        sure, mended, _ = garbled.mend(garbled.read_wrongly(text.encode("utf-8"), enc))
+        assert sure and mended == text
+    for right in ("Рёбра и «ёлки»", "Мы и… 日本語", "é» ja ä°", "Ελλάδα „Ääni”"):
+        assert garbled.mend(right)[:2] == (False, right)
+
+
+def test_restored_texts(spark):
+    """The original comes out as it was, only the span itself is replaced, and what stays garbled gives null."""
+    texts = ["säiliön huolto", "ręka ręka x", "Клапан 5", "日本語 pumpu", "für größere Maße"]
+    rows = [("t", i, garbled.read_wrongly(x.encode("utf-8"), enc)) for i, (x, enc) in enumerate(zip(texts, ("cp1252", "cp1250", "cp1251", "cp437", "mac_roman")))]
+    thrice = "ö"
+    for _ in range(4):
+        thrice = garbled.read_wrongly(thrice.encode("utf-8"), "cp1252")
+    rows += [("t", 10, "rêka, porêka rêka"), ("t", 11, f"x {thrice}"), ("t", 12, "w\ufffdrd")] + [("t", 20 + i, "ręka") for i in range(9)]
+    got = {r["record_id"]: r["original_text"] for r in garbled.garbled(spark.createDataFrame(rows, "table_name string, record_id bigint, text string")).collect()}
+    assert got == {**dict(enumerate(texts)), 10: "ręka, porêka ręka", 11: None, 12: None}
+
+
 def test_garbled_edges(spark):
     rows = [("t", 1, "kot³a i wed³ug"), ("t", 2, None), ("t", 3, ""), ("t", 4, "przek��adni"), ("t", 5, "rêkawice"), ("t", 6, "plain"), ("t", 7, LONG + "sÃ¤iliÃ¶"), ("t", 8, "FENÊTRE"), ("t", 1, "kot³a i wed³ug")] + [("t", 10 + i, "rękawice ochronne") for i in range(5)]
     df = spark.createDataFrame(rows, "table_name string, record_id bigint, text string").withColumn("mended", F.lit("x")).withColumn("w", F.lit(1))
