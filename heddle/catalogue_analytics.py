@@ -14,6 +14,7 @@ from .operators.graph import components
 from .operators.skew import attach_by_key
 from .plans import enrich as E
 from .plans import group as G
+from .plans.attach import weak_label
 from .plans import match as M
 from .session import cut, table
 from .streaming import events as ev
@@ -166,7 +167,7 @@ _extract("item_codes", lambda c: F.array_join(X.item_codes(c), "; "), "reference
 
 @query
 def spec_agreement(s, d):
-    t = table(s, d, "reference_items").where("english_description <> ''")
+    t = table(s, d, "reference_items")
     return t.select("item_row", F.coalesce(X.spec_agreement(X.spec_read("description"), X.spec_read("english_description")).cast("string"), F.lit("not stated")).alias("value"))
 
 
@@ -195,9 +196,10 @@ def _groups(s, d):
     c = cut(G.clusters(_entries(s, d).withColumn("spend", F.col("spend").cast("double"))))  # read three times below
     lab = G.consensus_label(c, ["bucket", "cluster"], "text", "row_count")
     g = c.join(lab, ["bucket", "cluster"], "left").join(G.cohesion(c), ["bucket", "cluster"])
-    weak = T.lookup_key("label").isin(default().generic)
-    conf = G.group_confidence(F.col("cohesion"), F.col("members"), F.col("confidence_total") / F.col("row_count"), ~F.coalesce(weak, F.lit(True)), F.col("cohesion") < 0)
-    return g.withColumn("group_id", G.group_id(F.col("bucket"), F.coalesce("label", F.lit("")))).withColumn("confidence", conf)
+    weak, other = weak_label(F.col("label")), F.col("cohesion") < G.MIN_COHESION
+    conf = G.group_confidence(F.col("cohesion"), F.col("members"), F.col("confidence_total") / F.col("row_count"), ~F.coalesce(weak, F.lit(True)), other)
+    g = g.withColumn("confidence", conf).withColumn("group_id", F.when(other, "").otherwise(G.group_id(F.col("bucket"), F.coalesce("label", F.lit("")))))
+    return g.withColumn("label", F.when(other, "Other").otherwise(F.col("label")))
 
 
 @query
@@ -231,25 +233,6 @@ o AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY p / f, f DESC, l
 SELECT bucket, upper(left(label, 1)) || substr(label, 2) AS label FROM z"""
 
 
-def _registry(s, d):
-    """The registry as of an earlier run: the entries whose first text is of an even length."""
-    return _entries(s, d).where(F.length("text") % 2 == 0).select("bucket", "signature", F.lit("run-0").alias("first_seen_run"))
-
-
-@query
-def registry_semi(s, d):
-    return G.known(_entries(s, d), _registry(s, d)).select("bucket", "signature")
-
-
-@query
-def registry_anti(s, d):
-    return G.unknown(_entries(s, d), _registry(s, d)).select("bucket", "signature")
-
-
-SQL["registry_semi"] = f"WITH {_ENTRIES} SELECT bucket, signature FROM e WHERE length(text) % 2 = 0"
-SQL["registry_anti"] = f"WITH {_ENTRIES} SELECT bucket, signature FROM e WHERE length(text) % 2 <> 0"
-
-
 @query
 def source_union(s, d):
     """Rows of sources with different columns, united by name."""

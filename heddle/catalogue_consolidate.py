@@ -32,7 +32,7 @@ def top_items(s, d):
 
 
 def crowded_item_guard(s, d):
-    return C.holders(_p(s, d)).withColumn("crowded", F.col("holders") > 20)
+    return C.holders(_p(s, d)).withColumn("crowded", F.col("holders") > C.FANOUT)
 
 
 def scope_guard(s, d):
@@ -122,7 +122,7 @@ SQL = {
     "scope_weight_basis": f"WITH {_BASIS} SELECT * FROM b",
     "named_share": f"WITH {_PORT} SELECT {_K}, round(named_weight::DOUBLE / total_weight::DOUBLE, 6) AS named_share FROM tot WHERE total_weight > 0",
     "top_items": f"WITH {_PORT} SELECT {_K}, item, rank::INT AS rank, weight::DOUBLE AS weight FROM (SELECT *, row_number() OVER (PARTITION BY {_K} ORDER BY weight DESC, item) AS rank FROM p WHERE named) WHERE rank <= 8",
-    "crowded_item_guard": f"WITH {_PORT} SELECT scope_level, scope_value, item, count(*) AS holders, count(*) > 20 AS crowded FROM p WHERE named GROUP BY 1, 2, 3",
+    "crowded_item_guard": f"WITH {_PORT} SELECT scope_level, scope_value, item, count(*) AS holders, count(*) > {C.FANOUT} AS crowded FROM p WHERE named GROUP BY 1, 2, 3",
     "scope_guard": f"WITH {_PORT} SELECT scope_level, scope_value, count(DISTINCT supplier) AS suppliers, count(DISTINCT supplier) BETWEEN 2 AND {C.SCOPE_CAP} AS compared FROM p GROUP BY 1, 2",
     "portfolio_overlap": f"WITH {_REACH} SELECT {_K}, partner, round(coverage, 6) AS coverage, round(addressable_spend, 2) AS addressable_spend, exact_items, partner_lines FROM r",
     "overlap_reverse": f"WITH {_OVER} SELECT {_K}, partner, round(coverage, 6) AS coverage, round(reverse_coverage, 6) AS reverse_coverage, round(mutual, 6) AS mutual FROM o",

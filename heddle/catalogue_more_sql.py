@@ -81,12 +81,12 @@ round_even(least(1.0, 0.7 * len({_inf}) / 4.0 + 0.3 * coalesce(len(list_distinct
 r AS (SELECT *, {_pick('basis', E.BASIS, 0.0)} * {_W['basis']}::DOUBLE + round_even(least(1.0, cov), 3) * {_W['translation']}::DOUBLE + round_even(least(1.0, f / 4.0), 3) * {_W['evidence']}::DOUBLE + round_even(least(1.0, greatest(0, y - 1) / 2.0), 3) * {_W['corroboration']}::DOUBLE + spec * {_W['specificity']}::DOUBLE + {_pick('match_tier', E.TIERS, 0.5)} * {_W['match']}::DOUBLE AS raw FROM x),
 z AS (SELECT line_id, CASE WHEN coalesce(d, '') = '' THEN 0 ELSE round_even(round(least(1.0, greatest(0.0, raw)) * 100, 9), 0)::INT END AS score FROM r)
 SELECT line_id, score, CASE WHEN score >= 75 THEN 'High' WHEN score >= 50 THEN 'Medium' ELSE 'Low' END AS band FROM z""",
-    "char_tfidf_topk": f"""WITH q AS (SELECT k AS text, min(line_id) AS id FROM (SELECT {Q.lookup(_E)} AS k, line_id FROM agent1_unified_lines WHERE {_E} <> '') GROUP BY 1), i AS (SELECT item_row AS id, coalesce(nullif(english_description, ''), description) AS text FROM reference_items),
-g AS (SELECT s, id, substr(w, o, n) AS term FROM (SELECT s, id, ' ' || unnest({Q.tokens(Q.lookup('text'))}) || ' ' AS w FROM (SELECT 'q' AS s, id, text FROM q WHERE id % 20 = 0 UNION ALL SELECT 'i', id, text FROM i)), (SELECT unnest([3, 4, 5]) AS n), LATERAL (SELECT unnest(range(1, length(w) - n + 2)) AS o)),
+    "char_tfidf_topk": f"""WITH rq AS (SELECT {Q.lookup(_E)} AS k, line_id FROM agent1_unified_lines WHERE {_E} <> '' AND line_id % 20 = 0), q AS (SELECT k AS text, min(line_id) AS id FROM rq GROUP BY 1), i AS (SELECT item_row AS id, coalesce(nullif(english_description, ''), description) AS text FROM reference_items),
+g AS (SELECT s, id, substr(w, o, n) AS term FROM (SELECT s, id, ' ' || unnest({Q.tokens(Q.lookup('text'))}) || ' ' AS w FROM (SELECT 'q' AS s, id, text FROM q UNION ALL SELECT 'i', id, text FROM i)), (SELECT unnest([3, 4, 5]) AS n), LATERAL (SELECT unnest(range(1, length(w) - n + 2)) AS o)),
 tf AS (SELECT s, id, term, 1 + ln(count(*)) AS tf FROM g GROUP BY 1, 2, 3), nn AS (SELECT count(DISTINCT id) AS n FROM i), sp AS (SELECT term, ln((1 + any_value(n)) / (1 + count(*))::DOUBLE) + 1 AS idf FROM tf, nn WHERE s = 'i' GROUP BY 1),
 w AS (SELECT s, id, term, tf * idf AS w FROM tf JOIN sp USING (term)), u AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY s, id)) AS u FROM w),
 d AS (SELECT a.id AS q, b.id AS i, round(sum(a.u * b.u), 6) AS score FROM u a JOIN u b ON a.term = b.term AND a.s = 'q' AND b.s = 'i' GROUP BY 1, 2 HAVING round(sum(a.u * b.u), 6) > 0)
-SELECT q, i, score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, i) AS rank FROM d) WHERE rank <= 5""",
+SELECT rq.line_id AS q, i, score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, i) AS rank FROM d) z JOIN q ON q.id = z.q JOIN rq ON rq.k = q.text WHERE rank <= 5""",
     "word_tfidf_sim": f"""WITH l AS (SELECT DISTINCT {Q.lookup('ai_purchase_group_l5')} AS label FROM agent2_purchase_groups), t AS (SELECT label, {Q.tokens('label')} AS w FROM l WHERE label <> ''),
 g AS (SELECT label, unnest(w) AS term FROM t UNION ALL SELECT label, w[i] || ' ' || w[i + 1] FROM (SELECT label, w, unnest(range(1, len(w))) AS i FROM t)),
 tf AS (SELECT label, term, 1 + ln(count(*)) AS tf FROM g GROUP BY 1, 2), sp AS (SELECT term, ln((1 + (SELECT count(*) FROM t)) / (1 + count(*))::DOUBLE) + 1 AS idf FROM tf GROUP BY 1), u AS (SELECT label, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY label)) AS u FROM tf JOIN sp USING (term)),

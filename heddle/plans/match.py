@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import extract as X
 from ..functions import text as T
+from ..operators.skew import salt
 
 # Thresholds, penalties and weights.
 HIGH, ACCEPT, MINIMUM, REPORT, TYPE_PENALTY, SPEC_PENALTY, SEMANTIC, LEXICAL = 0.80, 0.65, 0.50, 0.40, 0.55, 0.70, 0.60, 0.40
@@ -61,6 +62,34 @@ def top_k(rows: DataFrame, keys: list[str], order: list[Column], k: int) -> Data
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= k)
 
 
+def first_of_each(rows: DataFrame, key: str, order: str, k: int) -> DataFrame:
+    """The first k rows of each key, found per slot before the keys meet, so that a hot key is no one task's."""
+    part = Window.partitionBy(key, "__h_slot").orderBy(order)
+    few = rows.withColumn("__h_slot", salt(order)).withColumn("__h_k", F.row_number().over(part)).where(F.col("__h_k") <= k).drop("__h_slot", "__h_k")
+    return few.withColumn("__h_k", F.row_number().over(Window.partitionBy(key).orderBy(order))).where(F.col("__h_k") <= k).drop("__h_k")
+
+
+def united(semantic: DataFrame, lexical: DataFrame) -> DataFrame:
+    """Candidates (query, item, score) of two retrievals in one table, 0 for the view that didn't find them."""
+    a, b = semantic.withColumnRenamed("score", "semantic"), lexical.withColumnRenamed("score", "lexical")
+    return a.join(b, ["query", "item"], "full").select("query", "item", F.coalesce("semantic", F.lit(0.0)).alias("semantic"), F.coalesce("lexical", F.lit(0.0)).alias("lexical"))
+
+
+def blended(members: DataFrame, group: str, key: str, views: list[tuple[DataFrame, float]]) -> DataFrame:
+    """(group, key, other, score) of the members of one group that share a term in any view: cosines by weight over the views there are.
+
+    Each view is a table of unit vectors (key, term, w). Terms meet inside the group only, and no pair without a shared term is formed.
+    """
+    total, out = sum(w for _, w in views), None
+    for v, weight in views:
+        placed = members.select(group, key).join(v, key).withColumn(group, F.coalesce(group, F.lit("\x00")))
+        pairs = placed.join(placed.select(group, "term", F.col(key).alias("other"), F.col("w").alias("ow")), [group, "term"]).where(F.col(key) != F.col("other"))
+        dots = pairs.groupBy(group, key, "other").agg((F.sum(F.col("w") * F.col("ow")) * (weight / total)).alias("s"))
+        out = dots if out is None else out.unionByName(dots)
+    score = F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.sum("s"))), 5)
+    return out.groupBy(group, key, "other").agg(score.alias("score")).withColumn(group, F.nullif(group, F.lit("\x00")))
+
+
 def content_words(c: Column) -> Column:
     """Content words in order: no codes, no stopwords, by lemma."""
     return T.lemmas(c)
