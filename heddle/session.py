@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +39,12 @@ def cut(df: DataFrame) -> DataFrame:
     Only a local session without that setting gets a folder of its own; a cluster
     without it is refused, since a machine-local folder would be lost with its executor.
     """
-    spark = df.sparkSession
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a local session without one gets a folder that goes with it."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         shared = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -45,8 +52,9 @@ def cut(df: DataFrame) -> DataFrame:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="heddle-checkpoint-")
+            atexit.register(shutil.rmtree, shared, ignore_errors=True)
         sc.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def parts(spark: SparkSession) -> int:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
+from .tables import require
+
 
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     """A folder of CSV parts with header, columns in a fixed order; columns outside it are left out."""
@@ -33,26 +35,36 @@ def write_jsonl(df: DataFrame, path: str, nested: dict[str, list[str]]) -> None:
     df.select(*[c for c in df.columns if c not in inner], *[F.struct(*cs).alias(k) for k, cs in nested.items()]).write.mode("overwrite").json(path)
 
 
-def write_manifest(path: str, **facts) -> None:
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(facts, f, indent=1, sort_keys=True, default=str)
+def write_manifest(spark: SparkSession, path: str, statistics: DataFrame | None = None, **facts) -> None:
+    """The facts of a run as JSON, with the one row of ``statistics`` under that name."""
+    if statistics is not None:
+        facts["statistics"] = statistics.first().asDict()
+    files.put(spark, path, json.dumps(facts, indent=1, sort_keys=True, default=str))
+
+
+def write_stage(df: DataFrame, root: str, stage: str) -> None:
+    df.write.mode("overwrite").parquet(f"{root}/{stage}")
+
+
+def read_stage(spark: SparkSession, root: str, stage: str, columns: list[str]) -> DataFrame:
+    """What the stage before wrote, refused at once if a column of the contract is missing."""
+    return require(spark.read.parquet(f"{root}/{stage}"), columns)
 
 
-def save_snapshot(df: DataFrame, root: str) -> str:
+def save_snapshot(df: DataFrame, root: str, version: int = 1) -> str:
     """A new snapshot beside the earlier ones, then the pointer to it; a table is never written over while it is read."""
     name = uuid.uuid4().hex
-    df.write.parquet(os.path.join(root, name))
-    tmp = os.path.join(root, f".{name}")
-    with open(tmp, "w") as f:
-        f.write(name)
-    os.replace(tmp, os.path.join(root, "CURRENT"))
+    df.write.parquet(f"{root}/{name}")
+    files.put(df.sparkSession, f"{root}/CURRENT", json.dumps({"snapshot": name, "format_version": version}))
     return name
 
 
-def load_snapshot(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The current snapshot; an empty table if there is none or it can't be read."""
+def load_snapshot(spark: SparkSession, root: str, schema: str, version: int = 1) -> DataFrame:
+    """The current snapshot; an empty table if there is none, its pointer can't be read or it is of another version."""
     try:
-        with open(os.path.join(root, "CURRENT")) as f:
-            return spark.read.schema(schema).parquet(os.path.join(root, f.read().strip()))
-    except OSError:
+        at = json.loads(files.get(spark, f"{root}/CURRENT") or "null")
+    except ValueError:
+        at = None
+    if not isinstance(at, dict) or at.get("format_version") != version:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/{at['snapshot']}")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..pyfold import fold
+from . import files
 from .xlsx import ExcelSource
 
 SNIFF = 256 * 1024
@@ -39,8 +40,11 @@ ROLES = {
 }
 
 
-def discover(root: str) -> list[str]:
-    """Table files under a folder (or the file itself), sorted; dot files and lock files are left out."""
+def discover(root: str, spark: SparkSession | None = None) -> list[str]:
+    """Table files under a folder (or the file itself), sorted; dot files and lock files are left out. With a session any file system of Spark's."""
+    if spark is not None:
+        names = [(p, p.rsplit("/", 1)[-1]) for p in files.walk(spark, root)]
+        return [p for p, n in names if p == root or (os.path.splitext(n)[1].lower() in SUFFIXES and not n.startswith((".", "~$")))]
     if os.path.isfile(root):
         return [root]
     return sorted(str(p) for p in Path(root).rglob("*") if p.is_file() and p.suffix.lower() in SUFFIXES and not p.name.startswith((".", "~$")))
@@ -74,15 +78,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     if path.lower().endswith((".xlsx", ".xlsm")):
         spark.dataSource.register(ExcelSource)
         return spark.read.format("heddle_xlsx").load(path)
-    with open(path, "rb") as f:
-        head = f.read(SNIFF)
+    head = files.head(spark, path, SNIFF)
     enc = detect_encoding(head)
     sep = detect_delimiter(head.decode(enc, "replace")[:16_384])
     if enc in ("cp1252", "cp1250"):
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     df = spark.read.csv(path, header=True, sep=sep, encoding=JAVA[enc], inferSchema=False, multiLine=True, quote='"', escape='"', mode="PERMISSIVE")
     df = df.toDF(*[c.lstrip("﻿").strip() or f"column_{i + 1}" for i, c in enumerate(df.columns)])
-    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns], F.lit(os.path.basename(path)).alias("_src_file"), F.lit("").alias("_src_sheet"))
+    # A file whose cells may hold line ends is read by one task, in order, so its rows are numbered as they stand; the header is row 1.
+    number = (F.monotonically_increasing_id() + 2).cast("bigint")
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns], F.lit(os.path.basename(path)).alias("_src_file"), F.lit("").alias("_src_sheet"), number.alias("_row_no"))
 
 
 def header_key(name: str) -> str:
@@ -154,9 +159,9 @@ def require(df: DataFrame, columns: list[str]) -> DataFrame:
 def read_folder(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """All tables of a folder by role, headers united by name; files that can't be read or placed are reported and left out."""
     out: dict[str, DataFrame] = {}
-    for p in discover(root):
+    for order, p in enumerate(discover(root, spark)):
         try:
-            df = read_table(spark, p)
+            df = read_table(spark, p).withColumn("_table_ord", F.lit(order))
         except Exception as e:  # a broken file must not end the run
             print(f"left out {p}: {type(e).__name__}")
             continue
@@ -168,3 +173,49 @@ def read_folder(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def content_hash(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.sha2("content", 256).alias("sha256"))
+
+
+def column_map(columns: list[str], synonyms: dict[str, list[str]]) -> dict[str, str]:
+    """Field to column for the synonyms of one role, the first synonym that is there; columns are taken once."""
+    keys: dict[str, str] = {}
+    for c in columns:
+        keys.setdefault(header_key(c), c)
+    out: dict[str, str] = {}
+    for field, names in synonyms.items():
+        hit = next((keys[k] for k in map(header_key, [*names, field]) if k in keys and keys[k] not in out.values()), None)
+        if hit:
+            out[field] = hit
+    return out
+
+
+def reference_columns(columns: list[str], aliases: dict[str, list[str]]) -> dict[str, str]:
+    """Field to column of a library of references: an alias, else the longest alias that a header contains."""
+    out = column_map(columns, aliases)
+    for field, names in aliases.items():
+        if field not in out:
+            for k in sorted(map(header_key, names), key=lambda k: (-len(k), k)):
+                hit = next((c for c in columns if k in header_key(c) and c not in out.values()), None)
+                if hit:
+                    out[field] = hit
+                    break
+    return out
+
+
+def output_name(prefix: str, header: str) -> str:
+    """The prefix and the header in words joined by underscores, a prefix that the header begins with said once (C11)."""
+    words = re.findall(r"[^\W_]+", header)
+    if words and header_key(words[0]) == header_key(prefix):
+        words = words[1:]
+    return "_".join([prefix, *words])
+
+
+def prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    """The native columns under a prefix; provenance keeps its names, and a name met twice gets a number."""
+    used: dict[str, int] = {}
+
+    def name(c: str) -> str:
+        n = c if c.startswith("_") else output_name(prefix, c)
+        used[n] = used.get(n, 0) + 1
+        return n if used[n] == 1 else f"{n}_{used[n]}"
+
+    return df.toDF(*[name(c) for c in df.columns])
