@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, shared_folder
 
 
 def tumbling(events: DataFrame, width: str) -> DataFrame:
@@ -23,13 +23,25 @@ def sessions(events: DataFrame, gap_minutes: int) -> DataFrame:
 
 
 def stream_to_table(spark: SparkSession, sf_dir: str, width: str) -> DataFrame:
-    """Read the events as a stream to its end; each batch upserts its windows into a written table, the last state of each is returned."""
+    """Read the events as a stream to its end; each batch writes the windows it changed, the last state of each window is returned.
+
+    Windows are kept as state until the watermark passes them; a batch that is run again after a failure
+    writes over its own folder, so nothing counts twice, and nothing is held in the driver.
+    """
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     src = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "10 minutes")
-    name = "heddle_" + uuid.uuid4().hex[:12]
-    q = tumbling(src, width).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/windows/batch={number}")
+
+    q = tumbling(src, width).writeStream.outputMode("update").option("checkpointLocation", f"{root}/state").foreachBatch(write).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    if q.exception():
+        raise q.exception()
+    done = spark.read.schema("window_start timestamp, event_type string, events bigint, total double, batch int").parquet(f"{root}/windows")
+    last = done.groupBy("window_start", "event_type").agg(F.max_by(F.struct("events", "total"), "batch").alias("m"))
+    return last.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "m.events", "m.total")
 
 
 def as_of(events: DataFrame, of: str, last: str) -> DataFrame:
