@@ -393,7 +393,7 @@ def embedding_topk(s, d):
 
 _DES, _MEA = X.DESIGNATION, X.MEASURE
 # A word ends before an accented letter for DuckDB but not for Spark, so the end is written out.
-_DES_END, _MEA_END = (p.removesuffix("\\b") + "(?:$|[^\\p{L}\\p{N}_])" for p in (_DES, _MEA))
+_DES_END, _MEA_END = (p.removesuffix("\\b") + "(?:$|[^\\p{L}\\p{Nd}_])" for p in (_DES, _MEA))
 _SPEC = f"""sp0 AS (SELECT item_row, 'designation:' || lower(k) AS k, v::DOUBLE AS v FROM (SELECT item_row, unnest(regexp_extract_all({{0}}, '{_DES_END}', 1)) AS k, unnest(regexp_extract_all({{0}}, '{_DES_END}', 2)) AS v FROM reference_items)
 UNION ALL SELECT item_row, 'measure:' || CASE lower(u) {' '.join(f"WHEN '{u}' THEN '{b}'" for u, (b, _) in X.UNIT_SCALE.items())} ELSE lower(u) END, replace(n, ',', '.')::DOUBLE * CASE lower(u) {' '.join(f"WHEN '{u}' THEN {f!r}" for u, (_, f) in X.UNIT_SCALE.items())} ELSE 1.0 END::DOUBLE FROM (SELECT item_row, unnest(regexp_extract_all({{0}}, '{_MEA_END}', 1)) AS n, unnest(regexp_extract_all({{0}}, '{_MEA_END}', 2)) AS u FROM reference_items)),
 sp AS (SELECT item_row, k, max(v) AS v FROM sp0 GROUP BY 1, 2)"""
@@ -401,7 +401,7 @@ SQL["spec_read"] = f"WITH {_SPEC.replace('{0}', 'description')} SELECT item_row,
 _TWO = _SPEC.replace("{0}", "english_description").replace("sp0", "eq0").replace("sp AS", "eq AS")
 SQL["spec_agreement"] = f"""WITH {_SPEC.replace('{0}', 'description')}, {_TWO}, sh AS (SELECT sp.item_row, bool_and(abs(sp.v - eq.v) <= 0.05::DOUBLE * greatest(abs(sp.v), abs(eq.v))) AS ok FROM sp JOIN eq ON sp.item_row = eq.item_row AND sp.k = eq.k GROUP BY 1)
 SELECT item_row, coalesce(ok::VARCHAR, 'not stated') AS value FROM reference_items LEFT JOIN sh USING (item_row)"""
-_CODED = f"regexp_extract_all(regexp_replace(regexp_replace(description, '{_DES}', ' ', 'g'), '{_MEA}', ' ', 'g'), '\\b[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*\\b')"
+_CODED = f"regexp_extract_all(regexp_replace(regexp_replace(description, '{_DES_END}', ' ', 'g'), '{_MEA_END}', ' ', 'g'), '\\b[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*\\b')"
 SQL["item_codes"] = f"SELECT item_row, array_to_string(list_sort(list_distinct(list_filter(list_transform({_CODED}, lambda x: upper(replace(x, '-', ''))), lambda x: length(x) >= 4 AND regexp_matches(x, '[A-Z].*[A-Z]') AND regexp_matches(x, '\\d.*\\d')))), '; ') AS value FROM reference_items"
 _REFD = f"list_filter(regexp_extract_all({_s}, '\\b{X.GROUP}(?:-{X.GROUP}){{1,5}}\\b'), lambda x: length(x) >= 7 AND regexp_matches(x, '\\d') AND regexp_matches(x, '[A-Za-z]{{2,}}') AND NOT regexp_matches(x, '{X.ORDINALS}'))"
 SQL["extract_references"] = f"SELECT result_id, array_to_string(list_sort(list_distinct({_REFD}))[1:6], '; ') AS value FROM translation_results"
