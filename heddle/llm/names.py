@@ -8,8 +8,9 @@ of the typo, abbreviation, short form or omission that would have made the one f
 A leading name is split by the first letter of the trade, which every abbreviation keeps; a
 rare trade or leading name that is one typing error from a more frequent one visits the forms
 of that one too. Forms that omit the trade see sums over the candidates of each legal form only.
-A vendor number in common links forms as well, however many carry it; numbers known to be
-collective accounts are given as such. Only forms are ever compared, never records.
+A vendor number in common links forms as well, however many carry it. It is judged by the names
+under it: one whose records fall into several unrelated names, none with most of them, is a
+collective account and links nothing, as are numbers given as such. Only forms are ever compared.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ LEGAL = {
 # Forms that say the same.
 SAME_LEGAL = {"aktiebolag": "ab", "aktieb": "ab", "handelsbolag": "hb", "handelsb": "hb", "limited": "ltd", "spolka": "sp", "osakeyhtio": "oy", "kommandiittiyhtio": "ky", "cokg": "kg", "oyab": "oy", "abp": "oyj", "aktiengesellschaft": "ag"}
 SOLE = {"tmi", "sole", "trader", "toiminimi"}
+#: Unrelated names under one number beyond which it is a collective account's, if none of them has most of its records.
+CLASSES = 4
 #: Likelihoods of the channel: one typing error, an abbreviation, a missing trade, an initial, a short form.
 TYPO, SHORT, OMIT, INITIAL, NICK = 0.02, 0.03, 0.02, 0.02, 0.1
 
@@ -265,7 +268,8 @@ def entities(suppliers: DataFrame, given_names: DataFrame, collective: DataFrame
     Records without any letters or digits in their names are left out; null names, null arrays and
     repeated rows are fine; other columns are dropped. ``given_names`` is a small fixed table
     (given_name, short_form), read on the driver up to 10,000 rows and refused beyond. A vendor number
-    names one entity, whatever the spellings under it, unless ``collective`` (identifier) lists it.
+    names one entity, however many spellings stand under it, unless ``collective`` (identifier) lists it or
+    its records fall into more than CLASSES unrelated names of which none has more than half of them.
     """
     rows = given_names.limit(10_001).collect()
     if len(rows) > 10_000:
@@ -338,9 +342,16 @@ def entities(suppliers: DataFrame, given_names: DataFrame, collective: DataFrame
     edges = linked.where("NOT visitor").select("form_id", "to_id").unionByName(chosen)
 
     record_form = attach_by_key(spelled, forms.select(*form_cols, "form_id"), form_cols, ["supplier_row"]).select("supplier_row", "identifier", "form_id")
-    numbers = record_form.where("identifier IS NOT NULL").select("identifier", "form_id").distinct()
+    carried = record_form.where("identifier IS NOT NULL").groupBy("identifier", "form_id").agg(F.count(F.lit(1)).alias("n"))
     if collective is not None:
-        numbers = numbers.join(collective.select("identifier").distinct(), "identifier", "left_anti")
+        carried = carried.join(collective.select("identifier").distinct(), "identifier", "left_anti")
+    numbers = carried.select("identifier", "form_id")
+    many = cut(numbers.groupBy("identifier").agg(F.count(F.lit(1)).alias("k")).where(f"k > {CLASSES}").select("identifier"))
+    if not many.isEmpty():
+        kind = components(edges, "form_id", "to_id").withColumnRenamed("node", "form_id")
+        classes = carried.join(many, "identifier", "left_semi").join(kind, "form_id", "left").groupBy("identifier", F.coalesce("component", "form_id").alias("c")).agg(F.sum("n").alias("n"))
+        held = classes.groupBy("identifier").agg(F.max("n").alias("most"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("names"))
+        numbers = numbers.join(held.where(f"names > {CLASSES} AND 2 * most <= all").select("identifier"), "identifier", "left_anti")
     numbered = min_by_key(numbers, ["identifier"], "form_id", "to_id", ["form_id"]).where("form_id <> to_id")
     comp = components(edges.unionByName(numbered.select("form_id", "to_id")), "form_id", "to_id")
     classed = attach_by_key(record_form, comp.withColumnRenamed("node", "form_id"), ["form_id"], ["supplier_row"], how="left")
