@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from heddle import catalogue_analytics as A
 from heddle import catalogue_consolidate as Q
-from heddle.llm import names
 from heddle.plans import consolidate as C
 from heddle.plans import group as G
 
@@ -88,14 +87,3 @@ def test_components_change_no_cluster():
 def test_similar_overlap_has_every_level(spark, small):
     levels = {r[0] for r in Q.best_overlap_similar(spark, small).select("scope_level").distinct().collect()}
     assert {"category_l1", "category_l2", "business_area", "division"} <= levels
-
-
-def test_a_number_of_many_forms_links_one_entity(spark):
-    some = "abcdefghijklmnopqrstuvwxyz"
-    people = [("Konepaja Oy", "77")] * 30 + [(f"{2 * c}{c}orrvex{c}il Oy", "77") for c in some[:22]]
-    spread = [(f"{c}{c}ulmtrok{c}an Oy", "88") for c in some]
-    rows = [(i, n, [n], k) for i, (n, k) in enumerate(people + spread)]
-    df = spark.createDataFrame(rows, "supplier_row long, display_name string, raw_names array<string>, identifier string")
-    got = {r["supplier_row"]: r["entity"] for r in names.entities(df, spark.createDataFrame([], "given_name string, short_form string")).collect()}
-    assert {got[i] for i in range(len(people))} == {0}
-    assert len({got[i] for i in range(len(people), len(rows))}) > 13
