@@ -86,20 +86,24 @@ def widen_orders(tx: DataFrame, row_id: str, order_no: Column, line: Column, hin
     ``systems`` maps a name to rows (order_key, line_key, fields…). A system that the hint names goes one rank
     ahead; equal ranks are settled by name. Level is line only if one candidate is left.
     """
-    keys = tx.select(row_id, order_no.alias("_order"), line.alias("_line"), hint.alias("_hint"))
-    found = None
+    # All systems climb at once: a line beats the header of its own system by rank, so one minimum settles every rung.
+    rows = None
     for name in sorted(systems):
-        rows = systems[name].withColumnsRenamed({"order_key": "key", "line_key": "line"}).where("key <> ''")
-        header = fold(rows, ["key"], fields).withColumn("line", F.lit("")).withColumn("rung_kind", F.lit("header")).withColumn("lines_on_order", F.col("match_count"))
-        exact = fold(rows.where("line <> ''"), ["key", "line"], fields).withColumn("rung_kind", F.lit("line"))
-        exact = attach_by_key(exact, header.select("key", "lines_on_order"), ["key"], ["line"])
-        got = climb(keys, row_id, [("po-number + line", F.col("_order"), F.col("_line")), ("po-number", F.col("_order"), None)], exact.unionByName(header)).where("strategy IS NOT NULL")
-        single = (F.col("strategy") == "po-number") & (F.col("match_count") == 1)
-        rank = F.when(F.col("rung_kind") == "line", 0).when(single, 1).otherwise(2) - F.when(F.contains(F.lower("_hint"), F.lit(name)), 1).otherwise(0)
-        got = got.withColumn("rank", rank).withColumn("strategy", F.when(single, "po-number, single-line order").otherwise(F.col("strategy"))).withColumn("system", F.lit(name))
-        found = got if found is None else found.unionByName(got)
+        one = systems[name].withColumnsRenamed({"order_key": "key", "line_key": "line"}).where("key <> ''").withColumn("system", F.lit(name))
+        rows = one if rows is None else rows.unionByName(one)
+    header = fold(rows, ["system", "key"], fields).withColumn("line", F.lit(""))
+    exact = fold(rows.where("line <> ''"), ["system", "key", "line"], fields)
+    keys = tx.select(row_id, order_no.alias("key"), line.alias("_line"), hint.alias("_hint")).where("key <> ''")
+    tries = keys.withColumn("line", F.explode(F.when(F.col("_line") != "", F.array(F.lit(""), F.col("_line"))).otherwise(F.array(F.lit(""))))).drop("_line")
+    found = attach_by_key(tries, header.unionByName(exact), ["key", "line"], [row_id, "line"])
+    is_line, single = F.col("line") != "", F.col("match_count") == 1
+    strategy = F.when(is_line, "po-number + line").when(single, "po-number, single-line order").otherwise("po-number")
+    rank = F.when(is_line, 0).when(single, 1).otherwise(2) - F.when(F.contains(F.lower("_hint"), F.col("system")), 1).otherwise(0)
+    on_order = F.max(F.when(~is_line, F.col("match_count"))).alias("lines_on_order")
+    per = found.withColumns({"rank": rank, "strategy": strategy}).groupBy(row_id, "system").agg(F.min(F.struct("rank", "strategy", "match_count", *fields)).alias("b"), on_order)
+    best = per.groupBy(row_id).agg(F.min(F.struct("b.rank", "system", "b.strategy", "b.match_count", "lines_on_order", *[f"b.{c}" for c in fields])).alias("b"))
     cols = ["system", "strategy", "match_count", "lines_on_order", *fields]
-    best = found.groupBy(row_id).agg(F.min(F.struct("rank", *cols)).alias("b")).select(row_id, *[F.col(f"b.{c}").alias(f"po_{c}") for c in cols])
+    best = best.select(row_id, *[F.col(f"b.{c}").alias(f"po_{c}") for c in cols])
     out = tx.join(best, row_id, "left")
     return out.withColumn("po_match_level", F.when(F.col("po_match_count").isNull(), "none").when(F.col("po_match_count") == 1, "line").otherwise("header"))
 

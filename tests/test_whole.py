@@ -8,6 +8,7 @@ from heddle import catalogue_analytics as A
 from heddle import catalogue_consolidate as Q
 from heddle.plans import consolidate as C
 from heddle.plans import group as G
+from heddle.plans import widen as W
 
 
 def portfolio(spark, rows):
@@ -87,3 +88,16 @@ def test_components_change_no_cluster():
 def test_similar_overlap_has_every_level(spark, small):
     levels = {r[0] for r in Q.best_overlap_similar(spark, small).select("scope_level").distinct().collect()}
     assert {"category_l1", "category_l2", "business_area", "division"} <= levels
+
+
+def test_orders_climb_in_few_steps(spark):
+    rows = lambda *r: spark.createDataFrame(list(r), "order_key string, line_key string, flag string")
+    tx = spark.createDataFrame([(1, "a", "1", ""), (2, "a", "9", ""), (3, "b", "", "x.beta"), (4, "c", "1", ""), (5, "", "1", ""), (6, "b", None, None)], "id int, o string, l string, h string")
+    systems = {"beta": rows(("b", "1", "R"), ("a", "1", "R")), "alpha": rows(("a", "1", "A"), ("a", "2", "N"), ("a", "2", "N"), ("b", "7", "A"), ("", "1", "Z"), (None, "1", "Z"))}
+    out = W.widen_orders(tx, "id", F.col("o"), F.col("l"), F.col("h"), systems, ["flag"])
+    got = {r["id"]: (r["po_match_level"], r["po_system"], r["po_strategy"], r["po_match_count"], r["po_lines_on_order"], r["po_flag"]) for r in out.collect()}
+    none = ("none", None, None, None, None, None)
+    single = "po-number, single-line order"
+    assert got == {1: ("line", "alpha", "po-number + line", 1, 3, "A"), 2: ("line", "beta", single, 1, 1, "R"), 3: ("line", "beta", single, 1, 1, "R"), 4: none, 5: none, 6: ("line", "alpha", single, 1, 1, "A")}
+    # The driver's memory goes with the size of the plan: both systems climb in one.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 4
