@@ -42,6 +42,25 @@ def test_overlap_over_blocks(spark):
     assert best <= pick(got) and got.groupBy("supplier").count().agg(F.max("count")).first()[0] <= 9
 
 
+def test_partners_are_ranked_where_they_are_summed(spark):
+    random.seed(5)
+    rows = [(f"s{s:03d}", f"i{i}", random.choice([1, 1, 2, -2])) for s in range(120) for i in range(9) if random.random() < 0.35 / (1 + i)]
+    p = portfolio(spark, [(s, i, abs(n)) for s, i, n in rows]).join(spark.createDataFrame(rows, "supplier string, item string, sign int"), ["supplier", "item"]).withColumn("weight", F.col("sign").cast("decimal(28,4)")).drop("sign")
+    held = {}
+    for s, i, n in rows:
+        held.setdefault(s, {})[i] = n
+    want = set()
+    for a, x in held.items():
+        all_ = sum(x.values())
+        of = [(b, sum(n for i, n in x.items() if i in y) / all_ if all_ > 0 else 0, sum(abs(y[i]) for i in x if i in y), sum(10 * abs(n) for i, n in x.items() if i in y)) for b, y in held.items() if b != a]
+        want |= {(a, o[0], k) for k, o in enumerate(sorted((o for o in of if o[1] >= C.REPORT), key=lambda o: (-o[1], -o[2], -o[3], o[0]))[:4], 1)}
+    for some in ({}, {"block": 17, "span": 50}):
+        got = C.reach_both_ways(p, C.REPORT, 4, **some)
+        assert {(r["supplier"], r["partner"], r["rank"]) for r in got.collect()} == want
+    # Ranked within the tasks, so no pair is shuffled or joined: the plan ends in them.
+    assert "Join" not in C.reach_both_ways(p, C.REPORT, 4)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def catalogue(spark, folder, lines, items):
     spark.createDataFrame(lines, "line_id bigint, enriched_purchase_description string").write.parquet(f"{folder}/agent1_unified_lines.parquet")
     spark.createDataFrame([(k, x, None) for k, x in items], "item_row bigint, description string, english_description string").write.parquet(f"{folder}/reference_items.parquet")
