@@ -1,13 +1,16 @@
 """Cases in which an operator did less than the whole job: large scopes, crowded items, recurring rows."""
 
+import math
 import random
 
 from pyspark.sql import functions as F
 
 from heddle import catalogue_analytics as A
 from heddle import catalogue_consolidate as Q
+from heddle.functions import text as T
 from heddle.plans import consolidate as C
 from heddle.plans import group as G
+from heddle.plans import match as M
 from heddle.plans import widen as W
 
 
@@ -120,3 +123,52 @@ def test_orders_climb_in_few_steps(spark):
     assert got == {1: ("line", "alpha", "po-number + line", 1, 3, "A"), 2: ("line", "beta", single, 1, 1, "R"), 3: ("line", "beta", single, 1, 1, "R"), 4: none, 5: none, 6: ("line", "alpha", single, 1, 1, "A")}
     # The driver's memory goes with the size of the plan: both systems climb in one.
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 4
+
+
+def test_item_neighbours_form_each_pair_once(spark):
+    random.seed(7)
+    words = ["bearing", "ball", "steel", "valve", "gate", "hose", "seal", "kit", "Ölfilter"]
+    items = sorted({" ".join(random.sample(words, random.randint(1, 4))) + random.choice(["", "s", " 12"]) for _ in range(60)})
+    d = spark.createDataFrame([(x,) for x in items], "item string")
+    pairs = d.crossJoin(d.withColumnRenamed("item", "neighbour")).where("item <> neighbour").withColumn("score", F.round(T.text_similarity("item", "neighbour"), 4)).where("score >= 0.75")
+    long = lambda x: {w for w in x.split() if len(w) >= 4}
+    want = {}
+    for r in pairs.collect():
+        if long(r["item"]) & long(r["neighbour"]):
+            want.setdefault(r["item"], []).append((-r["score"], r["neighbour"]))
+    got = C.item_neighbours(d)
+    assert {(r["item"], r["neighbour"], r["score"]) for r in got.collect()} == {(a, b, -s) for a, of in want.items() for s, b in sorted(of)[:8]}
+    # No pair is gathered to be made distinct, and texts are read once an item.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "regexp" not in plan.lower()
+
+
+def _docs(spark, docs):
+    return spark.createDataFrame([(g, k, t) for g, k, t in docs], "g string, id bigint, t0 array<string>")
+
+
+def _cosines(docs, queries):
+    df = {}
+    for _, _, t in docs:
+        for x in set(t):
+            df[x] = df.get(x, 0) + 1
+
+    def vector(t):
+        v = {x: (1 + math.log(t.count(x))) * (math.log((1 + len(docs)) / (1 + df[x])) + 1) for x in set(t) if x in df}
+        n = math.sqrt(sum(w * w for w in v.values()))
+        return {x: w / n for x, w in v.items()}
+
+    for g, k, t in queries:
+        v = vector(t)
+        yield g, k, sorted(((-round(sum(w * u.get(x, 0) for x, w in v.items()), 6), o) for h, o, s in docs if h == g and o != k for u in [vector(s)] if u.keys() & v.keys()))
+
+
+def test_nearest_by_terms_over_blocks(spark):
+    random.seed(9)
+    docs = [(random.choice("xy"), k, random.choices("abcdefghijklmnop", k=random.randint(1, 9))) for k in range(90)]
+    d = _docs(spark, docs)
+    raw = M.sparse_topk(d, d, d, [1.0], 4, 6, same=True, blocks=3, spans=2)
+    got = M.top_k(raw.withColumn("score", F.round("score", 6)), ["g", "q"], [F.desc("score"), F.col("i")], 4)
+    have = {(r["g"], r["q"], r["rank"]): (r["i"], r["score"]) for r in got.collect()}
+    want = {(g, k, n): (o, -s) for g, k, of in _cosines(docs, docs) for n, (s, o) in enumerate(of[:4], 1)}
+    assert have == want
