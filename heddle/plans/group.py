@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -10,9 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import cut, parts
 
 # Distance of the cut, cohesion below which a group is Other, words of a label, groups wanted.
 DISTANCE, MIN_COHESION, LABEL_WORDS, MIN_GROUPS, MAX_GROUPS = 0.35, 0.45, 5, 10, 50
+# Parts of a similarity of 1 (divisible by all numbers to 22), neighbours listed at a time, bytes of sums held.
+UNIT, AHEAD, ROOM = 232_792_560, 32, 150_000_000
 
 
 def entries(lines: DataFrame) -> DataFrame:
@@ -28,80 +33,208 @@ def _grams(text: str) -> set[str]:
     return set(words)
 
 
-def _linkage(sim: np.ndarray, cut: float) -> tuple[list[int], list[tuple[float, int, int]]]:
-    """Average linkage from singletons: cluster of each point, and the merges in order, down to similarity ``cut``.
+class _Kept:
+    """Sums of the similarities of some clusters to every point, as many as fit ``ROOM``; the smallest cluster goes first."""
+
+    def __init__(self, n: int):
+        self.most, self.sums, self.by_size = ROOM // (8 * max(n, 1)), {}, []
+
+    def put(self, cluster: int, born: int, size: int, sums: np.ndarray) -> None:
+        self.sums[cluster] = (born, sums)
+        heapq.heappush(self.by_size, (size, cluster, born))
+        while len(self.sums) > self.most:
+            _, c, b = heapq.heappop(self.by_size)
+            if c in self.sums and self.sums[c][0] == b:
+                del self.sums[c]
+
+    def pop(self, cluster: int) -> np.ndarray | None:
+        return self.sums.pop(cluster, (0, None))[1]
+
 
-    The pair of the largest mean similarity above the cut merges; among equals the first in index order.
-    Sums between clusters are kept up to date, and each row's best partner, so a merge costs about n.
+def _merges(n: int, row: Callable[..., np.ndarray], cut: float, ahead: int = AHEAD) -> list[tuple[float, int, int]]:
+    """The merges of average linkage from singletons, in order, down to mean similarity ``cut``: (mean, cluster, cluster that goes into it).
+
+    The pair of the largest mean above the cut merges; among equals the first in index order, a cluster standing at its
+    first member. ``row`` gives the similarities of a point to all, or to those before a place, in whole parts of ``UNIT``, so sums are exact and so are ties.
+    No matrix is held. A cluster never changes, a merge makes a new one, which lists the best ``ahead`` of the clusters
+    before it, and lists again when those are used up. Clusters whose means don't exceed the cut never will, since
+    the mean of a union is at most the larger of the two. So the largest pair heads the list of its younger cluster.
     """
-    n = len(sim)
-    s = sim.astype(np.float32)
-    np.fill_diagonal(s, -np.inf)
+    gone = 2 * n + 1
+    born = np.zeros(n, np.int64)  # 0: a single point; gone: merged into another
     size = np.ones(n)
-    alive = np.ones(n, bool)
-    label = list(range(n))
-    best = np.where(np.triu(np.ones((n, n), bool), 1), s, -np.inf)
-    top = best.argmax(1) if n else np.empty(0, int)
-    val = best[np.arange(n), top] if n else np.empty(0)
-    merges = []
-    while n > 1:
-        i = int(val.argmax())
-        if not val[i] > cut:
-            break
-        j = int(top[i])
-        merges.append((float(val[i]), i, j))
-        # Mean similarity of the union with every other cluster (Lance-Williams for the average).
-        mean = (size[i] * s[i] + size[j] * s[j]) / (size[i] + size[j])
+    at = np.arange(n)
+    members = [[i] for i in range(n)]
+    lists: list[tuple[np.ndarray, np.ndarray, bool] | None] = [None] * n
+    heap: list[tuple[float, int, int, int, int]] = []
+    kept, merges = _Kept(n), []
+
+    def sums(c: int) -> np.ndarray:
+        s = kept.pop(c)
+        if s is None:
+            s = row(members[c][0]).astype(np.float64)
+            for i in members[c][1:]:
+                s += row(i)
+        return s
+
+    def enlist(c: int, s: np.ndarray) -> None:
+        """The best of the clusters before ``c``, best first, from its sums by point."""
+        t = born[c]
+        if t:
+            s = np.bincount(at, weights=s, minlength=n)
+            s[c] = 0
+            near = np.flatnonzero(s > least * size[c] * size)
+            near = near[born[near] < t]
+        else:
+            near = np.flatnonzero(s[:c] > least)
+            near = near[born[near] == 0]
+        mean = s[near] / (size[c] * size[near] * UNIT)
+        if len(near) > ahead:
+            some = mean >= np.partition(mean, len(mean) - ahead)[len(mean) - ahead]
+            best, mean = near[some], mean[some]
+        else:
+            best = near
+        some = mean > cut
+        best, mean = best[some], mean[some]
+        order = np.lexsort((np.maximum(best, c), np.minimum(best, c), -mean))[:ahead]
+        lists[c] = (best[order].astype(np.int32), mean[order], len(near) > len(order))
+        head(c)
+
+    def head(c: int) -> None:
+        near, mean, more = lists[c]
+        there = born[near] <= born[c]
+        k = int(there.argmax()) if len(near) else 0
+        if len(near) and there[k]:
+            lists[c] = (near[k:], mean[k:], more)
+            o = int(near[k])
+            heapq.heappush(heap, (-float(mean[k]), min(c, o), max(c, o), c, int(born[c])))
+        elif len(near) and more:
+            s = sums(c)
+            if len(members[c]) > 1:
+                kept.put(c, int(born[c]), len(members[c]), s)
+            enlist(c, s)
+        else:
+            lists[c] = None
+
+    least = cut * UNIT * (1 - 1e-9)
+    for i in range(n):
+        enlist(i, row(i, i))
+    while heap:
+        mean, i, j, c, t = heapq.heappop(heap)
+        if born[c] != t:
+            continue
+        if born[i + j - c] > t:
+            head(c)
+            continue
+        merges.append((-mean, i, j))
+        s = sums(i) + sums(j)
+        at[members[j]] = i
+        members[i] += members[j]
+        members[j] = lists[j] = None
         size[i] += size[j]
-        alive[j] = False
-        mean[~alive] = -np.inf
-        mean[i] = -np.inf
-        s[i], s[:, i] = mean, mean
-        s[j], s[:, j] = -np.inf, -np.inf
-        best[j], best[:, j], val[j] = -np.inf, -np.inf, -np.inf
-        best[i, i + 1 :] = mean[i + 1 :]
-        best[:i, i] = mean[:i]
-        stale = [i] + [k for k in range(j) if alive[k] and (top[k] in (i, j) or (k < i and mean[k] >= val[k]))]
-        for k in stale:
-            top[k] = int(best[k].argmax())
-            val[k] = best[k, top[k]]
-        label = [i if x == j else x for x in label]
-    return label, merges
+        born[i], born[j] = len(merges), gone
+        kept.put(i, len(merges), len(members[i]), s)
+        enlist(i, s)
+    return merges
+
+
+def _labels(n: int, merges: list[tuple[float, int, int]]) -> list[int]:
+    """The cluster of each point after the merges, numbered by its first member."""
+    into = {j: i for _, i, j in merges}
+    label = list(range(n))
+    for k in range(n):
+        if k in into:
+            label[k] = label[into[k]]  # a cluster goes into one before it
+    return label
+
+
+def _linkage(sim: np.ndarray, cut: float) -> tuple[list[int], list[tuple[float, int, int]]]:
+    """Average linkage of a matrix of similarities: cluster of each point, and the merges in order, down to similarity ``cut``."""
+    merges = _merges(len(sim), lambda i, before=None: np.rint(sim[i, :before] * UNIT), cut)
+    return _labels(len(sim), merges), merges
 
 
 def similarity_matrix(signatures: list[str]) -> np.ndarray:
-    """Jaccard of the lemmas of every two signatures, by one product of incidence matrices."""
-    vocab = {w: i for i, w in enumerate(sorted({w for s in signatures for w in _grams(s)}))}
-    m = np.zeros((len(signatures), len(vocab)), np.float32)
-    for r, s in enumerate(signatures):
-        for w in _grams(s):
-            m[r, vocab[w]] = 1
-    both = m @ m.T
-    n = m.sum(1)
-    return both / np.maximum(n[:, None] + n[None, :] - both, 1)
+    """Jaccard of the lemmas of every two signatures."""
+    row = _jaccard([sorted(_grams(s)) for s in signatures])
+    return np.array([row(i) / UNIT for i in range(len(signatures))])
 
 
-def _parted(signatures: list[str], least: float) -> list[np.ndarray]:
-    """The connected components of the signatures whose similarity exceeds ``least``, members in order; found by shared lemmas."""
-    words = [sorted(_grams(s)) for s in signatures]
+def _places(words: list[list[str]]) -> dict[str, np.ndarray]:
     rows: dict[str, list[int]] = {}
     for i, ws in enumerate(words):
         for w in ws:
             rows.setdefault(w, []).append(i)
-    at = {w: np.array(r) for w, r in rows.items()}
+    return {w: np.array(r, np.int32) for w, r in rows.items()}
+
+
+def _jaccard(words: list[list[str]]) -> Callable[..., np.ndarray]:
+    """The Jaccard of one list of words with all (or those before a place), in whole parts of ``UNIT``.
+
+    A place in the table of all values is summed from the places of the words; a word of many lists has a row of its own.
+    """
+    n = np.array([len(ws) for ws in words], np.int64)
+    longest = int(n.max()) if len(n) else 0
+    step = longest + 1
+    kind = np.min_scalar_type(step * step)
+    n = n.astype(kind)
+    at, dense = _places(words), {}
+    for w in [w for w, places in at.items() if 32 * len(places) > len(words)]:
+        dense[w] = np.zeros(len(words), kind)
+        dense[w][at.pop(w)] = step
+    tables: dict[int, np.ndarray] = {}
+
+    def row(i: int, before: int | None = None) -> np.ndarray:
+        if (m := len(words[i])) not in tables:
+            both = np.arange(m + 1)[:, None]
+            tables[m] = np.rint(UNIT * both / np.maximum(m + np.arange(step)[None, :] - both, 1)).ravel()
+        code = n[:before].copy()
+        for w in words[i]:
+            if w in dense:
+                code += dense[w][:before]
+            else:
+                places = at[w] if before is None else at[w][: np.searchsorted(at[w], before)]
+                code[places] += kind.type(step)
+        return tables[m].take(code)
+
+    return row
+
+
+def _parted(signatures: list[str], least: float) -> list[np.ndarray]:
+    """The connected components of the signatures whose similarity exceeds ``least``, members in order; found by shared lemmas."""
+    words = [sorted(_grams(s)) for s in signatures]
+    at = _places(words)
     n = np.array([len(ws) for ws in words])
-    label = np.arange(len(words))
-    for i, ws in enumerate(words):
-        near, both = np.unique(np.concatenate([at[w] for w in ws]), return_counts=True)
-        found = np.unique(label[near[both / (n[i] + n[near] - both) > least]])
-        if len(found) > 1:
-            label[np.isin(label, found)] = found[0]
-    order = np.argsort(label, kind="stable")
-    return np.split(order, np.flatnonzero(np.diff(label[order])) + 1) if len(order) else []
+    new = np.ones(len(words), bool)
+    out = []
+    for first in range(len(words)):
+        if not new[first]:
+            continue
+        new[first] = False
+        part, todo = [first], [first]
+        while todo:
+            i = todo.pop()
+            for w in words[i]:
+                at[w] = at[w][new[at[w]]]
+            met = np.concatenate([at[w] for w in words[i]])
+            if not len(met):
+                continue
+            near, both = np.unique(met, return_counts=True)
+            near = near[both / (n[i] + n[near] - both) > least]
+            new[near] = False
+            part += near.tolist()
+            todo += near.tolist()
+        out.append(np.sort(part))
+    return out
 
 
 def cluster_bucket(signatures: list[str], distance: float = DISTANCE, adaptive: bool = True) -> list[int]:
-    """The cluster of each signature (numbered by its first member); with ``adaptive`` the cut is bisected for 10 to 50 groups.
+    """The cluster of each signature (numbered by its first member); with ``adaptive`` the cut is bisected for 10 to 50 groups."""
+    return _clustered(signatures, distance, adaptive)[0]
+
+
+def _clustered(signatures: list[str], distance: float, adaptive: bool) -> tuple[list[int], list[float]]:
+    """The cluster of each signature and the cohesion of that cluster: the mean similarity of its pairs, 0.5 for a single member.
 
     The merges are made once, down to the loosest cut; every other cut is a prefix of them. Clusters of different
     components at that cut have a mean similarity below it and never merge, so each component is merged by
@@ -113,7 +246,8 @@ def cluster_bucket(signatures: list[str], distance: float = DISTANCE, adaptive:
     merges = []
     for part in _parted(names, loosest - 1e-6):
         if len(part) > 1:
-            merges += [(v, int(part[i]), int(part[j])) for v, i, j in _linkage(similarity_matrix([names[k] for k in part]), loosest)[1]]
+            row = _jaccard([sorted(_grams(names[k])) for k in part])
+            merges += [(v, int(part[i]), int(part[j])) for v, i, j in _merges(len(part), row, loosest)]
 
     def groups_at(d: float) -> int:
         return len(order) - sum(v > 1 - d for v, _, _ in merges)
@@ -128,41 +262,38 @@ def cluster_bucket(signatures: list[str], distance: float = DISTANCE, adaptive:
             lo, hi = (lo, d) if groups < MIN_GROUPS else (d, hi)
             d = (lo + hi) / 2
             groups = groups_at(d)
-    into = {j: i for v, i, j in merges if v > 1 - d}
-    out = [0] * len(order)
+    merges = [m for m in merges if m[0] > 1 - d]
+    size, within = [1] * len(order), [0.0] * len(order)
+    for v, i, j in merges:
+        within[i] += within[j] + v * size[i] * size[j]
+        size[i] += size[j]
+    label = _labels(len(order), merges)
+    out, cohesion = [0] * len(order), [0.5] * len(order)
     for place, i in enumerate(order):
-        while place in into:
-            place = into[place]
-        out[i] = place
-    return out
+        out[i] = c = label[place]
+        if size[c] > 1:
+            cohesion[i] = within[c] / (size[c] * (size[c] - 1) / 2)
+    return out, cohesion
 
 
 def clusters(e: DataFrame, distance: float = DISTANCE, adaptive: bool = True) -> DataFrame:
-    """entries with ``cluster``; a bucket is a group of distinct wordings, not of lines, and is clustered whole.
+    """entries with ``cluster``, its ``members`` and ``cohesion``; a bucket is a group of distinct wordings, not of lines, and is clustered whole.
 
-    A task holds the similarities of the largest component of its bucket, so its memory grows with the square of that.
+    A bucket is one task, whose memory grows with its wordings and not with their pairs, and whose time with their
+    square. Buckets are spread over the partitions by range, so that few of them meet in one.
     """
+    e = cut(e)  # read twice, for the ranges too
     cols = [f"{f.name} {f.dataType.simpleString()}" for f in e.schema.fields]
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         sig = pdf["signature"].tolist()
         names = sorted(sig)
-        return pdf.assign(cluster=[names[c] for c in cluster_bucket(sig, distance, adaptive)])
+        of, cohesion = _clustered(sig, distance, adaptive)
+        members = np.bincount(of)
+        return pdf.assign(cluster=[names[c] for c in of], members=members[of], cohesion=cohesion)
 
-    return e.groupBy("bucket").applyInPandas(run, ", ".join([*cols, "cluster string"]))
-
-
-def cohesion(c: DataFrame) -> DataFrame:
-    """Mean similarity of the pairs inside each cluster, 0.5 for a single member, by sums over lemma counts.
-
-    For n signatures the sum over pairs is taken from joins on shared lemmas inside the cluster, so only pairs that share one are formed.
-    """
-    w = c.select("bucket", "cluster", "signature", F.explode(F.split("signature", r"\|")).alias("w"), F.size(F.split("signature", r"\|")).alias("n"))
-    p = w.alias("x").join(w.alias("y"), ["bucket", "cluster", "w"]).where("x.signature < y.signature").groupBy("bucket", "cluster", F.col("x.signature").alias("a"), F.col("y.signature").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).agg(F.count(F.lit(1)).alias("both"))
-    s = p.groupBy("bucket", "cluster").agg(F.sum(F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("s"))
-    size = c.groupBy("bucket", "cluster").agg(F.count(F.lit(1)).alias("members"))
-    pairs = F.col("members") * (F.col("members") - 1) / 2
-    return size.join(s, ["bucket", "cluster"], "left").withColumn("cohesion", F.when(F.col("members") == 1, 0.5).otherwise(F.round(F.coalesce("s", F.lit(0.0)) / pairs, 6))).drop("s")
+    c = e.repartitionByRange(parts(e.sparkSession), "bucket").groupBy("bucket").applyInPandas(run, ", ".join([*cols, "cluster string", "members bigint", "cohesion double"]))
+    return c.withColumn("cohesion", F.round("cohesion", 6))
 
 
 def consensus_label(members: DataFrame, keys: list[str], text: str, weight: str, share: float = 0.5, most: int = LABEL_WORDS) -> DataFrame:

@@ -1,7 +1,10 @@
 """Cases in which an operator did less than the whole job: large scopes, crowded items, recurring rows."""
 
+import itertools
 import math
 import random
+import tracemalloc
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
@@ -107,6 +110,36 @@ def test_components_change_no_cluster():
         assert G.cluster_bucket(sig) == want
 
 
+def test_linkage_holds_no_matrix():
+    random.seed(11)
+    words = [f"w{k}" for k in range(60)]
+    sig = sorted({"|".join(sorted(random.choices(words, range(60, 0, -1), k=random.randint(3, 6)))) for _ in range(2_500)})
+    tracemalloc.start()
+    got = G.cluster_bucket(sig)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(got)) > 1 and most < 4 * len(sig) ** 2
+
+
+def test_merges_are_exact_with_few_sums_held(monkeypatch):
+    random.seed(13)
+    sig = sorted({"|".join(sorted(random.sample("abcdefghijkl", random.randint(1, 5)))) for _ in range(110)})
+    w = [set(x.split("|")) for x in sig]
+    alike = [[Fraction(len(a & b), len(a | b)) for b in w] for a in w]
+    groups, want, least = {i: [i] for i in range(len(sig))}, [], Fraction(3, 10)
+    while True:
+        means = [(-sum(alike[x][y] for x in a for y in b) / (len(a) * len(b)), i, j) for (i, a), (j, b) in itertools.combinations(sorted(groups.items()), 2)]
+        v, i, j = min(means)
+        if -v <= least:
+            break
+        want.append((float(-v), i, j))
+        groups[i] += groups.pop(j)
+    row = G._jaccard([x.split("|") for x in sig])
+    assert G._merges(len(sig), row, float(least)) == want
+    monkeypatch.setattr(G, "ROOM", 2_000)
+    assert G._merges(len(sig), row, float(least), ahead=2) == want
+
+
 def test_similar_overlap_has_every_level(spark, small):
     levels = {r[0] for r in Q.best_overlap_similar(spark, small).select("scope_level").distinct().collect()}
     assert {"category_l1", "category_l2", "business_area", "division"} <= levels
