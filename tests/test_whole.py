@@ -6,6 +6,7 @@ import random
 import tracemalloc
 from fractions import Fraction
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from heddle import catalogue_analytics as A
@@ -145,6 +146,31 @@ def test_similar_overlap_has_every_level(spark, small):
     assert {"category_l1", "category_l2", "business_area", "division"} <= levels
 
 
+def test_similar_overlap_over_blocks(spark):
+    random.seed(17)
+    rows = [(f"s{k:02d}", f"i{i}", random.choice([1, 2, 3, 29])) for k in range(45) for i in range(14) if random.random() < 0.2]
+    of = spark.createDataFrame([(a, b, w) for a, b, _ in rows for w in [random.choice([1, 1, 7, -2]) * (10**12 if a == "s03" else 1)]], "supplier string, item string, of bigint")
+    p = portfolio(spark, rows).join(of, ["supplier", "item"]).withColumn("weight", F.col("of").cast("decimal(28,4)")).drop("of")
+    e = spark.createDataFrame([(f"i{i}", f"i{j}", random.choice([0.75, 0.8125, 0.9, 1.0])) for i in range(14) for j in range(14) if i != j and random.random() < 0.2], "item string, neighbour string, score double")
+    pick = lambda d: sorted(tuple(r) for r in d.select(*C.KEY, "partner", "exact_items", "similar_items", "partner_lines", F.round("coverage", 4)).collect())
+    want = pick(C.reach(p, e))
+    assert want and any(r[5] for r in want)
+    assert pick(C.reach_similar(p, e)) == want
+    assert pick(C.reach_similar(p, e, block=7, span=9)) == want
+
+
+def test_similar_overlap_joins_no_pairs(spark, small):
+    plan = Q.best_overlap_similar(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_places_are_rounded_as_spark_rounds(spark):
+    random.seed(19)
+    x = [n / 32 for n in range(1, 40)] + [n / 20_000 for n in range(401, 900)] + [random.random() + 0.02 for _ in range(500)]
+    want = [r[0] for r in spark.createDataFrame([(v,) for v in x], "x double").select(F.round("x", 4)).collect()]
+    assert C._rounded(np.array(x)).tolist() == want
+
+
 def test_orders_climb_in_few_steps(spark):
     rows = lambda *r: spark.createDataFrame(list(r), "order_key string, line_key string, flag string")
     tx = spark.createDataFrame([(1, "a", "1", ""), (2, "a", "9", ""), (3, "b", "", "x.beta"), (4, "c", "1", ""), (5, "", "1", ""), (6, "b", None, None)], "id int, o string, l string, h string")
